@@ -77,7 +77,7 @@ clicks AS (
            || (50 + event_id % 51) || '.0  Safari/537.36' AS log,
          'site' || (event_id % 50) || '.example.com' AS redirect_from,
          'shop' || (event_id % 150) || '.example.com' AS redirect_to
-  FROM (SELECT *, (event_id % 1000003) * 4294 + event_id % 4001 AS n FROM events)
+  FROM (SELECT *, (event_id % 65536) * 40503 % 65536 * 65536 + event_id % 65536 AS n FROM events)
 )"""
 
 NATION_BANDS_SQL = """
@@ -161,7 +161,7 @@ def logins(spark: SparkSession, folder: str) -> DataFrame:
 def click_messages(spark: SparkSession, folder: str) -> DataFrame:
     """``event_id`` and the message bytes; 1 in 97 is not JSON, some ages are blank or null."""
     numbered = table(spark, folder, "events").withColumn(
-        "n", F.expr("(event_id % 1000003) * 4294 + event_id % 4001")
+        "n", F.expr("(event_id % 65536) * 40503 % 65536 * 65536 + event_id % 65536")
     )
     return numbered.selectExpr(
         "event_id",
