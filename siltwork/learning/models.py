@@ -5,12 +5,13 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
+import numpy as np
+
 from pyspark import StorageLevel
 from pyspark.ml.base import Estimator, Model
-from pyspark.ml.evaluation import RegressionEvaluator
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression, RandomForestRegressor
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siltwork.learning.features import FEATURES, SEED, assemble, scale_columns, split_rows
@@ -20,7 +21,6 @@ TREES = 2000
 RIDGE_ALPHAS = (0.1, 1.0, 10.0)
 LASSO_ALPHA = 2.0
 
-FOLDS = 5
 PREDICTION = "prediction"
 
 
@@ -63,22 +63,51 @@ def ridge_penalty(alpha: float, label_spread: float, rows: int) -> float:
     return alpha * label_spread / rows
 
 
+def leave_one_out_errors(features: FeatureSet, alphas: Sequence[float]) -> dict[float, float]:
+    """Mean squared error of ridge regression with each row predicted by all others.
+
+    No refit is needed: a row's error is its residual over one minus its
+    leverage.  One pass gathers the covariances, whose size follows the feature
+    count, and one pass sums the errors of every penalty.
+    """
+    width = range(len(features.names))
+    xs = [f"_x{i}" for i in width]
+    entry = vector_to_array(FEATURES)
+    rows = features.train.select(F.col(features.label).alias("_y"), *(entry[i].alias(xs[i]) for i in width))
+    pairs = {(a, b): F.covar_pop(a, b) for a in xs for b in [*xs, "_y"]}
+    means = {c: F.avg(c) for c in [*xs, "_y"]}
+    found = rows.agg(F.count("*"), *means.values(), *pairs.values()).first()
+    count, mean, moment = found[0], dict(zip(means, found[1:])), dict(zip(pairs, found[1 + len(means):]))
+    inner = np.array([[moment[a, b] for b in xs] for a in xs]) * count
+    cross = np.array([moment[a, "_y"] for a in xs]) * count
+    centred = [F.col(x) - mean[x] for x in xs]
+
+    def squared_error(alpha: float) -> Column:
+        inverse = np.linalg.inv(inner + alpha * np.eye(len(xs)))
+        slope = inverse @ cross
+        residual, leverage = F.col("_y") - mean["_y"], F.lit(1.0 / count)
+        for i in width:
+            residual = residual - centred[i] * float(slope[i])
+            leverage = leverage + centred[i] * sum((centred[j] * float(inverse[i, j]) for j in width), F.lit(0.0))
+        error = residual / (1 - leverage)
+        return F.avg(error * error)
+
+    errors = rows.agg(*(squared_error(a) for a in alphas)).first()
+    return dict(zip(alphas, errors))
+
+
 def standard_models(features: FeatureSet, trees: int = TREES) -> dict[str, Estimator]:
-    """Random forest, plain, ridge (penalty by cross-validation) and lasso regression."""
+    """Random forest, plain, ridge (penalty by leave-one-out error) and lasso regression."""
     label = features.label
     common = {"featuresCol": FEATURES, "labelCol": label, "predictionCol": PREDICTION}
     spread, rows = features.train.agg(F.stddev_pop(label), F.count(label)).first()
-    ridge = LinearRegression(elasticNetParam=0.0, standardization=False, solver="normal", **common)
-    grid = ParamGridBuilder().addGrid(ridge.regParam, [ridge_penalty(a, spread, rows) for a in RIDGE_ALPHAS]).build()
+    errors = leave_one_out_errors(features, RIDGE_ALPHAS)
+    penalty = ridge_penalty(min(errors, key=errors.get), spread, rows)
     return {
         "RandomForestRegressor": RandomForestRegressor(numTrees=trees, seed=SEED, **common),
         "LinearRegression": LinearRegression(regParam=0.0, solver="normal", **common),
-        "RidgeCV": CrossValidator(
-            estimator=ridge,
-            estimatorParamMaps=grid,
-            evaluator=RegressionEvaluator(labelCol=label, predictionCol=PREDICTION, metricName="rmse"),
-            numFolds=FOLDS,
-            seed=SEED,
+        "RidgeCV": LinearRegression(
+            elasticNetParam=0.0, regParam=penalty, standardization=False, solver="normal", **common
         ),
         "Lasso": LinearRegression(elasticNetParam=1.0, regParam=LASSO_ALPHA, standardization=False, **common),
     }
@@ -132,8 +161,7 @@ def weights(df: DataFrame, features: FeatureSet, models: Mapping[str, Model]) ->
     """
     rows = []
     for name, model in models.items():
-        fitted = getattr(model, "bestModel", model)
-        values = fitted.featureImportances if hasattr(fitted, "featureImportances") else fitted.coefficients
+        values = model.featureImportances if hasattr(model, "featureImportances") else model.coefficients
         rows += [(name, feature, float(value)) for feature, value in zip(features.names, values.toArray())]
     table = df.sparkSession.createDataFrame(rows, "model string, feature string, weight double")
     return table.orderBy("model", F.desc("weight"))

@@ -15,6 +15,7 @@ from siltwork.learning.models import (
 from siltwork.operators.merge import upsert
 from siltwork.operators.reports import average_by
 from siltwork.plans.tables import CHARGES, SATISFACTION
+from siltwork.shared import write_shared
 from siltwork.sources.files import read_csv
 from siltwork.sources.landing import archive_folder, stream_landing
 from siltwork.streaming.batches import staged_sink
@@ -71,8 +72,11 @@ class Comparison:
 
 
 def compare_models(training: DataFrame, trees: int = TREES) -> Comparison:
-    """Fit the four models and report scores, weights and predictions."""
-    features = prepare(training, "customer_id", SCORES, "product_type", "avg_amount_captured")
+    """Fit the four models and report scores, weights and predictions.
+
+    The training rows are written first: every fit and every report reads them.
+    """
+    features = prepare(write_shared(training, "training"), "customer_id", SCORES, "product_type", "avg_amount_captured")
     models = fit_all(features, standard_models(features, trees))
     predicted = predictions(features, models)
     return Comparison(features, predicted, scores(predicted), weights(training, features, models))

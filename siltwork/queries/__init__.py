@@ -6,6 +6,8 @@ from siltwork.queries import (  # noqa: F401
     income_queries,
     rule_queries,
     shop_queries,
+    stream_queries,
+    table_queries,
     word_queries,
 )
 from siltwork.queries.registry import ORACLES, QUERIES
