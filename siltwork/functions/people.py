@@ -33,15 +33,16 @@ def parse_address(address: Column) -> Column:
     """Struct of ``ADDRESS_FIELDS`` from comma text.
 
     Four parts fill all fields, three leave ``street2`` blank, any other count
-    gives four blanks.  A null address gives a null struct.
+    gives four blanks.  A null address gives four nulls.  The part count is the
+    first thing every field tests, so the text is split once per row.
     """
     pieces = F.split(address, ",")
     count = F.size(pieces)
 
     def piece(four: int, three: int | None) -> Column:
         short = F.lit("") if three is None else F.trim(F.get(pieces, F.lit(three)))
-        return F.when(count == 4, F.trim(F.get(pieces, F.lit(four)))).when(count == 3, short).otherwise("")
+        full = F.trim(F.get(pieces, F.lit(four)))
+        return F.when(count == 4, full).when(count == 3, short).when(address.isNotNull(), "")
 
     places = {"street1": (0, 0), "street2": (1, None), "city": (2, 1), "country": (3, 2)}
-    parsed = F.struct(*(piece(*places[name]).alias(name) for name in ADDRESS_FIELDS))
-    return F.when(address.isNotNull(), parsed)
+    return F.struct(*(piece(*places[name]).alias(name) for name in ADDRESS_FIELDS))

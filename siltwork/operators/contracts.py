@@ -6,13 +6,18 @@ and reporting all start from that list.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+# A condition that is true for a broken row, and the name it is reported under.
+Rule = tuple[Column, str]
+
 VIOLATIONS = "violations"
 UUID = "uuid"
 UUID_PATTERN = "^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$"
@@ -36,18 +41,18 @@ class Field:
         """The column in its declared type, null where the text does not fit it."""
         return F.col(self.name).try_cast(self.spark_type)
 
-    def problems(self) -> list[Column]:
-        """Name of each broken rule of this column, null when it is kept."""
+    def rules(self) -> list[Rule]:
+        """Conditions under which this column breaks its declaration."""
         col = F.col(self.name)
         found = []
         if self.required:
-            found.append(F.when(col.isNull(), f"{self.name}:not_null"))
+            found.append((col.isNull(), f"{self.name}:not_null"))
         if self.kind == UUID:
-            found.append(F.when(~col.rlike(UUID_PATTERN), f"{self.name}:type"))
+            found.append((~col.rlike(UUID_PATTERN), f"{self.name}:type"))
         elif self.kind != "string":
-            found.append(F.when(col.isNotNull() & self.typed().isNull(), f"{self.name}:type"))
+            found.append((col.isNotNull() & self.typed().isNull(), f"{self.name}:type"))
         if self.max_length is not None:
-            found.append(F.when(F.length(col) > self.max_length, f"{self.name}:length"))
+            found.append((F.length(col) > self.max_length, f"{self.name}:length"))
         return found
 
 
@@ -74,32 +79,28 @@ class Contract:
     def column(self, name: str) -> Column:
         return next(f for f in self.fields if f.name == name).typed()
 
-    def violations(self) -> Column:
-        """Array of broken rule names."""
-        found = [problem for field in self.fields for problem in field.problems()]
-        found += [F.when(~check.rule(self.column), f"{check.name}:check") for check in self.checks]
-        return F.array_compact(F.array(*found))
+    def rules(self) -> list[Rule]:
+        found = [rule for field in self.fields for rule in field.rules()]
+        return found + [(~check.rule(self.column), f"{check.name}:check") for check in self.checks]
 
-    def with_violations(self, df: DataFrame, extra: Iterable[tuple[Column, str]] = ()) -> DataFrame:
-        """``df`` plus the violations column; ``extra`` adds (condition, name) rules."""
-        more = F.array_compact(F.array(*(F.when(bad, name) for bad, name in extra), F.lit(None).cast("string")))
-        return df.select("*", F.concat(self.violations(), more).alias(VIOLATIONS))
+    def with_violations(self, df: DataFrame, extra: Sequence[Rule] = ()) -> DataFrame:
+        """``df`` plus an array of the rules each row breaks."""
+        return df.select("*", _names([*self.rules(), *extra]).alias(VIOLATIONS))
 
-    def split_checked(self, checked: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """Typed rows without violations, and untouched rows with theirs."""
-        broken = F.size(VIOLATIONS) > 0
-        good = checked.where(~broken).select(*(f.typed().alias(f.name) for f in self.fields))
-        return good, checked.where(broken)
+    def split(self, df: DataFrame, extra: Sequence[Rule] = ()) -> tuple[DataFrame, DataFrame]:
+        """Typed rows that keep every rule, and the others untouched with their violations.
 
-    def split(self, df: DataFrame) -> tuple[DataFrame, DataFrame]:
-        return self.split_checked(self.with_violations(df))
+        Rows are told apart by a plain boolean; names are gathered for broken
+        rows only.
+        """
+        broken = _any([*self.rules(), *extra])
+        return self.conform(df.where(~broken)), self.with_violations(df.where(broken), extra)
 
     def enforce(self, df: DataFrame) -> DataFrame:
         """``df`` unchanged; the job that reads it fails on the first broken row."""
-        broken = self.violations()
-        message = F.concat(F.lit("contract broken: "), F.concat_ws(", ", broken))
-        passes = F.when(F.size(broken) == 0, F.lit(True)).otherwise(F.raise_error(message).cast("boolean"))
-        return df.where(passes)
+        message = F.concat(F.lit("contract broken: "), F.concat_ws(", ", _names(self.rules())))
+        fails = F.raise_error(message).cast("boolean")
+        return df.where(F.when(_any(self.rules()), fails).otherwise(True))
 
     def conform(self, df: DataFrame) -> DataFrame:
         """Declared columns in declared order and type."""
@@ -114,6 +115,14 @@ class Contract:
         return duplicate_keys(df, self.unique)
 
 
+def _any(rules: Sequence[Rule]) -> Column:
+    return reduce(or_, (F.coalesce(broken, F.lit(False)) for broken, _ in rules), F.lit(False))
+
+
+def _names(rules: Sequence[Rule]) -> Column:
+    return F.array_compact(F.array(*(F.when(broken, name) for broken, name in rules)))
+
+
 def duplicate_keys(df: DataFrame, key: Sequence[str]) -> DataFrame:
     """Keys held by more than one row, with their count; nulls are no duplicates."""
     present = df.dropna(subset=list(key))

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,10 +13,7 @@ from siltwork.operators.keys import best_per_key
 
 
 def _null_key(key: Sequence[str]) -> Column:
-    found = F.lit(False)
-    for name in key:
-        found = found | F.col(name).isNull()
-    return found
+    return reduce(or_, (F.col(name).isNull() for name in key))
 
 
 def one_per_key(

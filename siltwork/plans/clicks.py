@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -69,12 +70,16 @@ def waiting_clicks(clicks: DataFrame, ledger: DataFrame, day: dt.date | None = N
     return unprocessed(uploaded_on(clicks, day), ledger, "id")
 
 
+REPORTS: dict[str, Callable[[DataFrame], DataFrame]] = {
+    "df_country": lambda clicks: reports.clicks_ranked(clicks, "country"),
+    "df_city": lambda clicks: reports.clicks_ranked(clicks, "city"),
+    "df_age_group": lambda clicks: reports.clicks_by_lists(
+        clicks, ("age_group", AGE_BAND_ORDER), ("time_of_day", TIME_OF_DAY_ORDER)
+    ),
+    "df_year_month": lambda clicks: reports.clicks_by_month(clicks, "activity_time"),
+}
+
+
 def build_reports(enriched: DataFrame) -> dict[str, DataFrame]:
-    return {
-        "df_country": reports.clicks_ranked(enriched, "country"),
-        "df_city": reports.clicks_ranked(enriched, "city"),
-        "df_age_group": reports.clicks_by_lists(
-            enriched, ("age_group", AGE_BAND_ORDER), ("time_of_day", TIME_OF_DAY_ORDER)
-        ),
-        "df_year_month": reports.clicks_by_month(enriched, "activity_time"),
-    }
+    """All click reports over enriched clicks that are already stored."""
+    return {name: report(enriched) for name, report in REPORTS.items()}

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -14,7 +15,7 @@ from siltwork.functions.people import ADDRESS_FIELDS, age_group, parse_address
 from siltwork.operators import reports
 from siltwork.operators.columns import lift_fields, repair_types, union_renamed
 from siltwork.operators.facts import attach_headers, latest_products, order_headers
-from siltwork.operators.keys import best_per_key, dimension, lookup_key, number_rows
+from siltwork.operators.keys import dimension, lookup_key, number_rows
 from siltwork.shared import write_shared
 
 HEADER_KEY = ("customer_email", "date", "delivery_address")
@@ -59,13 +60,15 @@ def clean_orders(lines: DataFrame) -> DataFrame:
 
 
 def address_dimension(users: DataFrame, lines: DataFrame) -> DataFrame:
-    """Distinct addresses of users and deliveries; a user's spelling of the parts wins."""
-    columns = ["address", *ADDRESS_FIELDS]
-    lived = users.select(*columns, F.lit(0).alias("_origin"))
-    delivered = lines.select("delivery_address", *ADDRESS_FIELDS, F.lit(1).alias("_origin"))
-    both = union_renamed(lived, delivered, {"delivery_address": "address"})
-    one = best_per_key(both, ["address"], ["_origin"], latest=False).drop("_origin")
-    return number_rows(one, ["address"]).select("id", *columns)
+    """Distinct addresses of users and deliveries, with ids in text order.
+
+    The parts follow from the text, so only distinct texts are parsed and moved.
+    """
+    both = union_renamed(users.select("address"), lines.select("delivery_address"), {"delivery_address": "address"})
+    parsed = both.distinct().withColumn("_place", parse_address(F.col("address")))
+    return number_rows(lift_fields(parsed, "_place", ADDRESS_FIELDS), ["address"]).select(
+        "id", "address", *ADDRESS_FIELDS
+    )
 
 
 def users_full(users: DataFrame, genders: DataFrame, addresses: DataFrame) -> DataFrame:
@@ -176,15 +179,30 @@ def build_silver(users: DataFrame, logins: DataFrame, lines: DataFrame, as_of: d
     )
 
 
-def build_gold(users: DataFrame, lines: DataFrame) -> dict[str, DataFrame]:
-    """The six income reports over cleaned users and order lines."""
+def sold_to(users: DataFrame, lines: DataFrame) -> DataFrame:
+    """Order lines of known users, with their gender and age band."""
     people = users.select(F.col("email").alias("_email"), "gender", "age_group")
-    sold = lines.join(people, F.col("customer_email") == F.col("_email"))
-    return {
-        "total_income_by_hours": reports.income_by_hour(lines, "order_date", "total_price"),
-        "total_income_by_genders": reports.income_by_group_ranked(sold, "gender", "total_price"),
-        "total_income_by_dates": reports.income_by_date(lines, "order_date", "total_price"),
-        "total_income_by_dates_with_month": reports.income_by_date_with_profit(lines, "order_date", "total_price"),
-        "total_income_by_avg_month": reports.income_vs_month_average(lines, "order_date", "total_price"),
-        "profit_by_age_group_and_gender": reports.income_by_groups(sold, ["gender", "age_group"], "total_price"),
-    }
+    return lines.join(people, F.col("customer_email") == F.col("_email"))
+
+
+GOLD: dict[str, Callable[[DataFrame, DataFrame], DataFrame]] = {
+    "total_income_by_hours": lambda users, lines: reports.income_by_hour(lines, "order_date", "total_price"),
+    "total_income_by_genders": lambda users, lines: reports.income_by_group_ranked(
+        sold_to(users, lines), "gender", "total_price"
+    ),
+    "total_income_by_dates": lambda users, lines: reports.income_by_date(lines, "order_date", "total_price"),
+    "total_income_by_dates_with_month": lambda users, lines: reports.income_by_date_with_profit(
+        lines, "order_date", "total_price"
+    ),
+    "total_income_by_avg_month": lambda users, lines: reports.income_vs_month_average(
+        lines, "order_date", "total_price"
+    ),
+    "profit_by_age_group_and_gender": lambda users, lines: reports.income_by_groups(
+        sold_to(users, lines), ["gender", "age_group"], "total_price"
+    ),
+}
+
+
+def build_gold(users: DataFrame, lines: DataFrame) -> dict[str, DataFrame]:
+    """The six income reports over cleaned users and order lines that are already stored."""
+    return {name: report(users, lines) for name, report in GOLD.items()}

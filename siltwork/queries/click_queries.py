@@ -40,14 +40,19 @@ BROWSER_CASE = """CASE WHEN regexp_matches(log, 'Edge?/') THEN 'Edge' WHEN regex
      WHEN regexp_matches(log, 'Firefox/') THEN 'Firefox' WHEN regexp_matches(log, 'Chrome/') THEN 'Chrome'
      WHEN regexp_matches(log, 'Safari/') THEN 'Safari' ELSE 'Other' END"""
 
-ENRICHED = f"""
-WITH {CLICKS_SQL}, {NATION_BANDS_SQL}, enriched AS (
+DECODED = f"""WITH {CLICKS_SQL}, {NATION_BANDS_SQL}, decoded AS (
+  SELECT {CLICK_COLUMNS}, ip_number FROM clicks WHERE is_json
+  UNION ALL
+  SELECT NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL FROM clicks WHERE NOT is_json
+)"""
+
+ENRICHED = f"""{DECODED}, enriched AS (
   SELECT age, gender, ad_position, browsing_history, activity_time, ip_address, log, redirect_from, redirect_to,
          coalesce(country, 'Unknown') AS country, coalesce(city, 'Unknown') AS city,
          {AGE_CASE} AS age_group, CAST(hour(activity_time) AS INTEGER) AS hours,
          {DAY_CASE.format('activity_time')} AS time_of_day, {DEVICE_CASE} AS device_type, {OS_CASE} AS os_family,
          {BROWSER_CASE} AS browser_family
-  FROM clicks LEFT JOIN bands ON ip_number BETWEEN ip_from AND ip_to WHERE is_json
+  FROM decoded LEFT JOIN bands ON ip_number BETWEEN ip_from AND ip_to
 )"""
 
 
@@ -58,9 +63,7 @@ def _decoded(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _enriched(spark: SparkSession, folder: str) -> DataFrame:
-    """Enriched clicks; messages that were not JSON are left to the quarantine."""
-    decoded = _decoded(spark, folder).where("username IS NOT NULL")
-    return clicks.enrich(decoded, inputs.nation_bands(spark, folder))
+    return clicks.enrich(_decoded(spark, folder), inputs.nation_bands(spark, folder))
 
 
 @query(f"""WITH {CLICKS_SQL}
@@ -85,18 +88,18 @@ def click_enriched(spark: SparkSession, folder: str) -> DataFrame:
 @query(f"""{ENRICHED}, t AS (SELECT country, COUNT(country) AS amount FROM enriched GROUP BY ALL)
 SELECT *, rank() OVER (ORDER BY amount DESC) AS rank FROM t""")
 def clicks_by_country_rank(spark: SparkSession, folder: str) -> DataFrame:
-    return clicks.build_reports(_enriched(spark, folder))["df_country"]
+    return clicks.REPORTS["df_country"](_enriched(spark, folder))
 
 
 @query(f"""{ENRICHED}, t AS (SELECT city, COUNT(city) AS amount FROM enriched GROUP BY ALL)
 SELECT *, rank() OVER (ORDER BY amount DESC) AS rank FROM t""")
 def clicks_by_city_rank(spark: SparkSession, folder: str) -> DataFrame:
-    return clicks.build_reports(_enriched(spark, folder))["df_city"]
+    return clicks.REPORTS["df_city"](_enriched(spark, folder))
 
 
 @query(f"""{ENRICHED} SELECT age_group, time_of_day, COUNT(age_group) AS amount FROM enriched GROUP BY ALL""")
 def clicks_by_group_and_time(spark: SparkSession, folder: str) -> DataFrame:
-    return clicks.build_reports(_enriched(spark, folder))["df_age_group"]
+    return clicks.REPORTS["df_age_group"](_enriched(spark, folder))
 
 
 @query("""
@@ -150,11 +153,11 @@ def clicks_by_month_per_year(spark: SparkSession, folder: str) -> DataFrame:
     return reports.clicks_by_month(table(spark, folder, "orders"), "o_orderdate", per_year=True)
 
 
-@query(f"""WITH {CLICKS_SQL}, described AS (
-  SELECT {DEVICE_CASE} AS device_type, {OS_CASE} AS os_family, {BROWSER_CASE} AS browser_family FROM clicks WHERE is_json)
+@query(f"""{DECODED}, described AS (
+  SELECT {DEVICE_CASE} AS device_type, {OS_CASE} AS os_family, {BROWSER_CASE} AS browser_family FROM decoded)
 SELECT device_type, os_family, browser_family, COUNT(*) AS amount FROM described GROUP BY ALL""")
 def ua_breakdown(spark: SparkSession, folder: str) -> DataFrame:
-    agents = _decoded(spark, folder).where("log IS NOT NULL").select(
+    agents = _decoded(spark, folder).select(
         device_type(F.col("log")).alias("device_type"),
         os_family(F.col("log")).alias("os_family"),
         browser_family(F.col("log")).alias("browser_family"),
@@ -162,26 +165,26 @@ def ua_breakdown(spark: SparkSession, folder: str) -> DataFrame:
     return agents.groupBy("device_type", "os_family", "browser_family").agg(F.count("*").alias("amount"))
 
 
-@query(f"""WITH {CLICKS_SQL}, {NATION_BANDS_SQL}
+@query(f"""{DECODED}
 SELECT ip_address, ip_number, coalesce(country, 'Unknown') AS country, coalesce(city, 'Unknown') AS city,
        coalesce(region, 'Unknown') AS region
-FROM clicks LEFT JOIN bands ON ip_number BETWEEN ip_from AND ip_to WHERE is_json""")
+FROM decoded LEFT JOIN bands ON ip_number BETWEEN ip_from AND ip_to""")
 def ip_geo(spark: SparkSession, folder: str) -> DataFrame:
-    addresses = _decoded(spark, folder).where("ip_address IS NOT NULL").select(
+    addresses = _decoded(spark, folder).select(
         "ip_address", ipv4_number(F.col("ip_address")).alias("ip_number")
     )
     return locate(addresses, inputs.nation_bands(spark, folder))
 
 
-@query(f"""WITH {CLICKS_SQL}
+@query(f"""{DECODED}
 SELECT ip_address, coalesce(c_name, 'Unknown') AS c_name
-FROM clicks LEFT JOIN customer ON ip_number BETWEEN c_custkey * 28000 AND c_custkey * 28000 + 20999 WHERE is_json""")
+FROM decoded LEFT JOIN customer ON ip_number BETWEEN c_custkey * 28000 AND c_custkey * 28000 + 20999""")
 def ip_geo_many_bands(spark: SparkSession, folder: str) -> DataFrame:
     """Bands as many as there are customers, several to one address prefix."""
     bands = table(spark, folder, "customer").selectExpr(
         "c_custkey * 28000 AS ip_from", "c_custkey * 28000 + 20999 AS ip_to", "c_name"
     )
-    addresses = _decoded(spark, folder).where("ip_address IS NOT NULL").select("ip_address")
+    addresses = _decoded(spark, folder).select("ip_address")
     return locate(addresses, bands, fields=("c_name",))
 
 

@@ -13,7 +13,6 @@ from siltwork.plans import shop
 from siltwork.queries import inputs
 from siltwork.queries.inputs import LINES_SQL, LOGINS_SQL, USERS_SQL
 from siltwork.queries.registry import query, table
-from siltwork.shared import write_shared
 
 AS_OF = dt.date(2024, 6, 15)
 
@@ -32,11 +31,6 @@ def _lines(spark: SparkSession, folder: str) -> DataFrame:
     return shop.clean_orders(inputs.lines(spark, folder))
 
 
-def _stored_lines(spark: SparkSession, folder: str) -> DataFrame:
-    """Cleaned lines written once, for queries that read them several times."""
-    return write_shared(_lines(spark, folder), "cleaned-orders")
-
-
 def _logins(spark: SparkSession, folder: str) -> DataFrame:
     return shop.clean_logins(inputs.logins(spark, folder))
 
@@ -177,7 +171,7 @@ def logs_full(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(f"{BASE}, {DIMENSIONS}, {PRODUCTS} SELECT * FROM products")
 def product_full(spark: SparkSession, folder: str) -> DataFrame:
-    lines = _stored_lines(spark, folder)
+    lines = _lines(spark, folder)
     return shop.product_full(lines, dimension(lines, "product_category"))
 
 
@@ -188,7 +182,7 @@ def order_headers_numbered(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(f"{BASE}, {ADDRESS}, {HEADERS} SELECT * FROM orders_made")
 def orders_full(spark: SparkSession, folder: str) -> DataFrame:
-    users, lines = _users(spark, folder), _stored_lines(spark, folder)
+    users, lines = _users(spark, folder), _lines(spark, folder)
     return shop.orders_full(shop.numbered_headers(lines), users, shop.address_dimension(users, lines))
 
 
@@ -213,7 +207,7 @@ GOLD_DAYS = f"""{BASE}, days AS (
 
 
 def _gold(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return shop.build_gold(_users(spark, folder), _lines(spark, folder))[name]
+    return shop.GOLD[name](_users(spark, folder), _lines(spark, folder))
 
 
 @query(f"""{BASE} SELECT CAST(hour(order_date) AS INTEGER) AS hours, CAST(SUM(total_price) AS DECIMAL(20,2)) AS total_income

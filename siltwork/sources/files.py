@@ -64,8 +64,7 @@ def read_csv_split(
         .option("columnNameOfCorruptRecord", CORRUPT)
         .csv(list(paths) if not isinstance(paths, str) else paths)
     )
-    checked = contract.with_violations(frame, extra=((F.col(CORRUPT).isNotNull(), "row:malformed"),))
-    return contract.split_checked(checked)
+    return contract.split(frame, extra=[(F.col(CORRUPT).isNotNull(), "row:malformed")])
 
 
 def route_by_path(frame: DataFrame, routes: Mapping[str, str], default: str) -> DataFrame:
