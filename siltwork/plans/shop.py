@@ -109,13 +109,16 @@ def numbered_headers(lines: DataFrame) -> DataFrame:
     return order_headers(lines, HEADER_KEY, "total_price", ("date", "customer_email"), "order_id")
 
 
-def orders_full(headers: DataFrame, users: DataFrame, addresses: DataFrame) -> DataFrame:
-    """Headers of known customers, with the id of the delivery address."""
+def known_headers(headers: DataFrame, users: DataFrame, addresses: DataFrame) -> DataFrame:
+    """Headers of known customers, with customer and delivery address ids."""
     with_user = lookup_key(headers, users, "customer_email", "customer_id", dim_key="email", how="inner")
-    with_address = lookup_key(
+    return lookup_key(
         with_user, addresses, "delivery_address", "delivery_address_id", dim_key="address", how="inner"
     )
-    return with_address.select(
+
+
+def orders_full(known: DataFrame) -> DataFrame:
+    return known.select(
         F.col("order_id").alias("id"),
         "customer_id",
         F.col("customer_email").alias("email"),
@@ -125,15 +128,12 @@ def orders_full(headers: DataFrame, users: DataFrame, addresses: DataFrame) -> D
     )
 
 
-def order_items_full(lines: DataFrame, orders: DataFrame, addresses: DataFrame, products: DataFrame) -> DataFrame:
-    """Lines with order and product ids, joined on customer, date and address."""
-    addressed = lookup_key(
-        lines, addresses, "delivery_address", "delivery_address_id", dim_key="address", how="inner"
-    )
-    keyed = addressed.withColumnsRenamed({"customer_email": "email"}).drop("order_date").withColumnRenamed(
-        "date", "order_date"
-    )
-    headed = attach_headers(keyed, orders, ("email", "order_date", "delivery_address_id"), "id", "order_id")
+def order_items_full(lines: DataFrame, known: DataFrame, products: DataFrame) -> DataFrame:
+    """Lines with order and product ids, joined on customer, date and address.
+
+    The join uses the headers' own key texts, so lines move once.
+    """
+    headed = attach_headers(lines, known, HEADER_KEY, "order_id", "order_id")
     with_product = lookup_key(headed, products, "product_name", "product_id", how="inner")
     return with_product.select("id", "order_id", "product_id", "quantity", "unit_price", "total_price")
 
@@ -168,27 +168,32 @@ def build_silver(users: DataFrame, logins: DataFrame, lines: DataFrame, as_of: d
     category = dimension(lines, "product_category")
     device = dimension(logins, "device")
     products = product_full(lines, category)
-    orders = write_shared(orders_full(numbered_headers(lines), users, address), "orders-full")
+    known = write_shared(known_headers(numbered_headers(lines), users, address), "headers")
     return Silver(
         users, logins, lines, address, gender, category, device,
         users_full(users, gender, address),
         logs_full(logins, users, device),
         products,
-        orders,
-        order_items_full(lines, orders, address, products),
+        orders_full(known),
+        order_items_full(lines, known, products),
     )
 
 
-def sold_to(users: DataFrame, lines: DataFrame) -> DataFrame:
-    """Order lines of known users, with their gender and age band."""
+def spent_by(users: DataFrame, lines: DataFrame) -> DataFrame:
+    """Total of each known user, with gender and age band.
+
+    Lines are summed by e-mail before the join, so a user with very many lines
+    reaches it as one row.
+    """
     people = users.select(F.col("email").alias("_email"), "gender", "age_group")
-    return lines.join(people, F.col("customer_email") == F.col("_email"))
+    totals = reports.total_by(lines, ["customer_email"], "total_price", "total_price")
+    return totals.join(people, F.col("customer_email") == F.col("_email"))
 
 
 GOLD: dict[str, Callable[[DataFrame, DataFrame], DataFrame]] = {
     "total_income_by_hours": lambda users, lines: reports.income_by_hour(lines, "order_date", "total_price"),
     "total_income_by_genders": lambda users, lines: reports.income_by_group_ranked(
-        sold_to(users, lines), "gender", "total_price"
+        spent_by(users, lines), "gender", "total_price"
     ),
     "total_income_by_dates": lambda users, lines: reports.income_by_date(lines, "order_date", "total_price"),
     "total_income_by_dates_with_month": lambda users, lines: reports.income_by_date_with_profit(
@@ -198,7 +203,7 @@ GOLD: dict[str, Callable[[DataFrame, DataFrame], DataFrame]] = {
         lines, "order_date", "total_price"
     ),
     "profit_by_age_group_and_gender": lambda users, lines: reports.income_by_groups(
-        sold_to(users, lines), ["gender", "age_group"], "total_price"
+        spent_by(users, lines), ["gender", "age_group"], "total_price"
     ),
 }
 

@@ -39,4 +39,4 @@ def count_stream(
 ) -> StreamingQuery:
     """Stream: keep running counts over restarts and replace the table each batch."""
     counts = word_counts(stream_text(spark, path))
-    return start(counts, replace_table_sink(table), checkpoint, output_mode="complete", every=every)
+    return start(counts, replace_table_sink(table, reader=spark), checkpoint, output_mode="complete", every=every)

@@ -229,7 +229,7 @@ def uploaded_of_day(spark: SparkSession, folder: str) -> DataFrame:
     return uploaded_on(_stored_clicks(spark, folder), DAY)
 
 
-@query(f"{STORED} SELECT id, created_at, CASE WHEN id % 2 = 0 THEN 'transformed' ELSE status END AS status FROM stored")
+@query(f"{STORED} SELECT id, created_at, CASE WHEN id % 2 = 0 THEN 'transformed' ELSE status END AS status FROM stored", name="mark_processed")
 def clicks_marked(spark: SparkSession, folder: str) -> DataFrame:
     return mark_processed(_stored_clicks(spark, folder), _ledger(spark, folder), "id")
 
@@ -239,7 +239,7 @@ def clicks_waiting(spark: SparkSession, folder: str) -> DataFrame:
     return clicks.waiting_clicks(_stored_clicks(spark, folder), _ledger(spark, folder))
 
 
-@query("SELECT * FROM events WHERE event_id % 2 <> 0")
+@query("SELECT * FROM events WHERE event_id % 2 <> 0", name="unprocessed")
 def unprocessed_events(spark: SparkSession, folder: str) -> DataFrame:
     ledger = _ledger(spark, folder).withColumnRenamed("id", "event_id")
     return unprocessed(table(spark, folder, "events"), ledger, "event_id")

@@ -87,7 +87,7 @@ WITH source AS (SELECT o_custkey AS id, o_orderstatus AS label, o_totalprice AS
 SELECT id, label, value FROM source WHERE n = 1
 UNION ALL
 SELECT c_custkey, c_mktsegment, c_acctbal FROM customer
-WHERE c_custkey % 2 = 0 AND c_custkey NOT IN (SELECT id FROM source)""")
+WHERE c_custkey % 2 = 0 AND c_custkey NOT IN (SELECT id FROM source)""", name="upsert")
 def upsert_latest(spark: SparkSession, folder: str) -> DataFrame:
     """Source keys repeat: the last order of a customer wins."""
     target = table(spark, folder, "customer").where("c_custkey % 2 = 0").selectExpr(
@@ -106,7 +106,7 @@ WITH source AS (SELECT o_orderkey AS version, o_custkey AS id, o_orderstatus AS
 SELECT NULL AS version, c_custkey AS id, c_mktsegment AS label, c_acctbal AS value FROM customer WHERE c_custkey % 2 = 0
 UNION ALL
 SELECT version, id, label, value FROM source
-WHERE n = 1 AND id NOT IN (SELECT c_custkey FROM customer WHERE c_custkey % 2 = 0)""")
+WHERE n = 1 AND id NOT IN (SELECT c_custkey FROM customer WHERE c_custkey % 2 = 0)""", name="insert_ignore")
 def insert_ignored(spark: SparkSession, folder: str) -> DataFrame:
     """Only customers that are not stored yet; their first order wins."""
     target = table(spark, folder, "customer").where("c_custkey % 2 = 0").selectExpr(
@@ -127,7 +127,7 @@ def _landed(spark: SparkSession, folder: str) -> str:
 
 
 @query(f"{FEATURES_SQL} SELECT * FROM features")
-def csv_to_features(spark: SparkSession, folder: str) -> DataFrame:
+def csv_contract(spark: SparkSession, folder: str) -> DataFrame:
     """Landing files, read under contract, to the feature table."""
     loaded = finance.load_folders(spark, _landed(spark, folder))
     return finance.training_rows(loaded["in_charge"], loaded["customer_satisfaction"])
@@ -170,7 +170,7 @@ def csv_violations(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query("SELECT o_orderkey, o_custkey, o_orderstatus, o_orderpriority FROM orders")
-def landing_ingest(spark: SparkSession, folder: str) -> DataFrame:
+def ingest_archive(spark: SparkSession, folder: str) -> DataFrame:
     """Landed files as a stream, archived, staged by batch."""
     base = shared_path(spark, "ingest")
     orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
@@ -224,7 +224,7 @@ SELECT round(regr_slope(l_extendedprice, l_quantity), 4) AS slope,
        round(regr_intercept(l_extendedprice, l_quantity), 4) AS intercept,
        round(regr_r2(l_extendedprice, l_quantity), 4) AS r2
 FROM lineitem""")
-def linear_fit(spark: SparkSession, folder: str) -> DataFrame:
+def linreg_fit(spark: SparkSession, folder: str) -> DataFrame:
     """One feature: slope, intercept and R² of the fitted line."""
     rows = VectorAssembler(inputCols=["l_quantity"], outputCol="features").transform(
         table(spark, folder, "lineitem").select("l_quantity", "l_extendedprice")
@@ -255,7 +255,7 @@ def _compared(spark: SparkSession, folder: str) -> finance.Comparison:
 
 
 @query()
-def model_scores(spark: SparkSession, folder: str) -> DataFrame:
+def models_compare(spark: SparkSession, folder: str) -> DataFrame:
     return _compared(spark, folder).scores
 
 

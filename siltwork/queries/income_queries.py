@@ -16,9 +16,11 @@ def _orders(spark: SparkSession, folder: str) -> DataFrame:
     return orders.select("o_custkey", "o_orderdate", amount(F.col("o_totalprice")).alias("total_price"))
 
 
-def _orders_with_segment(spark: SparkSession, folder: str) -> DataFrame:
+def _spent_with_segment(spark: SparkSession, folder: str) -> DataFrame:
+    """Total per customer, summed before the join so a frequent customer is one row."""
     customers = table(spark, folder, "customer").select("c_custkey", "c_mktsegment")
-    return _orders(spark, folder).join(customers, F.col("o_custkey") == F.col("c_custkey"))
+    totals = reports.total_by(_orders(spark, folder), ["o_custkey"], "total_price", "total_price")
+    return totals.join(customers, F.col("o_custkey") == F.col("c_custkey"))
 
 
 DAYS = """
@@ -46,11 +48,11 @@ def income_by_hour(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("""
 WITH t AS (
-  SELECT c_mktsegment, CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DECIMAL(28,2)) AS total_income
+  SELECT c_mktsegment, CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DECIMAL(38,2)) AS total_income
   FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY ALL)
 SELECT *, rank() OVER (ORDER BY total_income) AS rank FROM t""")
 def income_by_segment_rank(spark: SparkSession, folder: str) -> DataFrame:
-    return reports.income_by_group_ranked(_orders_with_segment(spark, folder), "c_mktsegment", "total_price")
+    return reports.income_by_group_ranked(_spent_with_segment(spark, folder), "c_mktsegment", "total_price")
 
 
 @query("""
@@ -101,8 +103,8 @@ SELECT c_mktsegment,
        CASE WHEN c_custkey % 100 >= 60 THEN '60+' WHEN c_custkey % 100 >= 41 THEN '41-60'
             WHEN c_custkey % 100 >= 26 THEN '26-40' WHEN c_custkey % 100 >= 18 THEN '18-25'
             ELSE '1-18' END AS age_group,
-       CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DECIMAL(28,2)) AS total_income
+       CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DECIMAL(38,2)) AS total_income
 FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY ALL""")
 def income_by_segment_age(spark: SparkSession, folder: str) -> DataFrame:
-    aged = _orders_with_segment(spark, folder).withColumn("age_group", age_group(F.col("c_custkey") % 100))
+    aged = _spent_with_segment(spark, folder).withColumn("age_group", age_group(F.col("c_custkey") % 100))
     return reports.income_by_groups(aged, ["c_mktsegment", "age_group"], "total_price")

@@ -12,13 +12,14 @@ QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 
-def query(oracle: str | None = None) -> Callable[[Query], Query]:
-    """Register a function under its own name, with SQL that must give the same rows."""
+def query(oracle: str | None = None, name: str | None = None) -> Callable[[Query], Query]:
+    """Register a function under its own or the given name, with SQL that must give the same rows."""
 
     def register(function: Query) -> Query:
-        QUERIES[function.__name__] = function
+        key = name or function.__name__
+        QUERIES[key] = function
         if oracle is not None:
-            ORACLES[function.__name__] = oracle
+            ORACLES[key] = oracle
         return function
 
     return register

@@ -183,7 +183,8 @@ def order_headers_numbered(spark: SparkSession, folder: str) -> DataFrame:
 @query(f"{BASE}, {ADDRESS}, {HEADERS} SELECT * FROM orders_made")
 def orders_full(spark: SparkSession, folder: str) -> DataFrame:
     users, lines = _users(spark, folder), _lines(spark, folder)
-    return shop.orders_full(shop.numbered_headers(lines), users, shop.address_dimension(users, lines))
+    known = shop.known_headers(shop.numbered_headers(lines), users, shop.address_dimension(users, lines))
+    return shop.orders_full(known)
 
 
 @query(f"""{BASE}, {ADDRESS}, {DIMENSIONS}, {PRODUCTS}, {HEADERS}
@@ -216,7 +217,7 @@ def gold_income_by_hours(spark: SparkSession, folder: str) -> DataFrame:
     return _gold(spark, folder, "total_income_by_hours")
 
 
-@query(f"""{SOLD}, t AS (SELECT gender, CAST(SUM(total_price) AS DECIMAL(20,2)) AS total_income FROM sold GROUP BY ALL)
+@query(f"""{SOLD}, t AS (SELECT gender, CAST(SUM(total_price) AS DECIMAL(30,2)) AS total_income FROM sold GROUP BY ALL)
 SELECT *, rank() OVER (ORDER BY total_income) AS rank FROM t""")
 def gold_income_by_genders(spark: SparkSession, folder: str) -> DataFrame:
     return _gold(spark, folder, "total_income_by_genders")
@@ -245,7 +246,7 @@ def gold_income_by_avg_month(spark: SparkSession, folder: str) -> DataFrame:
     return _gold(spark, folder, "total_income_by_avg_month")
 
 
-@query(f"""{SOLD} SELECT gender, age_group, CAST(SUM(total_price) AS DECIMAL(20,2)) AS total_income
+@query(f"""{SOLD} SELECT gender, age_group, CAST(SUM(total_price) AS DECIMAL(30,2)) AS total_income
 FROM sold GROUP BY ALL""")
 def gold_profit_by_age_group_and_gender(spark: SparkSession, folder: str) -> DataFrame:
     return _gold(spark, folder, "profit_by_age_group_and_gender")
@@ -313,7 +314,7 @@ def login_fact(spark: SparkSession, folder: str) -> DataFrame:
 SELECT *, row_number() OVER (ORDER BY date, o_custkey, o_orderpriority) AS id
 FROM (SELECT o_custkey, CAST(o_orderdate AS DATE) AS date, o_orderpriority, COUNT(*) AS order_items_amount,
              CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DECIMAL(28,2)) AS order_total_price
-      FROM orders GROUP BY ALL)""")
+      FROM orders GROUP BY ALL)""", name="order_headers")
 def order_roll_up(spark: SparkSession, folder: str) -> DataFrame:
     orders = table(spark, folder, "orders").selectExpr(
         "o_custkey", "CAST(o_orderdate AS DATE) AS date", "o_orderpriority",

@@ -36,7 +36,7 @@ def _message_stream(messages: DataFrame, label: str, parts: int, per_batch: int
 @query(f"""WITH {CLICKS_SQL}
 SELECT {CLICK_COLUMNS} FROM clicks WHERE is_json
 UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL FROM clicks WHERE NOT is_json""")
-def click_landing_stream(spark: SparkSession, folder: str) -> DataFrame:
+def fanout_sink(spark: SparkSession, folder: str) -> DataFrame:
     """Decoded clicks, each micro-batch in the folder its id selects, all read back."""
     base = shared_path(spark, "clicks")
     stream = _message_stream(inputs.click_messages(spark, folder), "click-messages", BATCHES)

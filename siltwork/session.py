@@ -20,6 +20,21 @@ SETTINGS = {
 }
 
 
+# Shuffled bytes one task should take, and the fewest partitions worth starting
+# from.  Smaller parts would make the driver's block tables the limit at 100 TB.
+BYTES_PER_PARTITION = 1024**3
+FEWEST_PARTITIONS = 200
+
+
+def partitions_for(input_bytes: int) -> int:
+    """Shuffle partitions for the largest shuffled input: 100 TB gives about 93,000.
+
+    Start a job's session with this value; adaptive execution merges what a
+    smaller shuffle of the same job does not need.
+    """
+    return max(FEWEST_PARTITIONS, -(-input_bytes // BYTES_PER_PARTITION))
+
+
 def build_session(app_name: str = "siltwork", master: str | None = None, **extra: str) -> SparkSession:
     """Return a session with the settings above; ``extra`` keys use ``__`` for dots."""
     builder = SparkSession.builder.appName(app_name)

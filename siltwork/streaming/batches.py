@@ -10,7 +10,7 @@ import datetime as dt
 from collections.abc import Callable, Mapping
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltwork.sinks.files import landing_path, overwrite_table, write_csv, write_json, write_parquet, write_partitioned
@@ -25,9 +25,19 @@ def replace_sink(path: str) -> BatchSink:
     return lambda batch, batch_id: write_parquet(batch, path)
 
 
-def replace_table_sink(table: str, path: str | None = None) -> BatchSink:
-    """Complete mode into a catalog table."""
-    return lambda batch, batch_id: overwrite_table(batch, table, path)
+def replace_table_sink(table: str, path: str | None = None, reader: SparkSession | None = None) -> BatchSink:
+    """Complete mode into a catalog table.
+
+    Micro-batches run in a session of their own; ``reader`` is a session whose
+    cached file list of the table must be dropped after each batch.
+    """
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        overwrite_table(batch, table, path)
+        if reader is not None:
+            reader.catalog.refreshTable(table)
+
+    return sink
 
 
 def staged_sink(path: str) -> BatchSink:

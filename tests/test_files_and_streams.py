@@ -110,6 +110,20 @@ def test_click_messages_land_in_each_kind_of_sink(spark, tmp_path):
     assert [r.username for r in spark.read.parquet(f"{base}/table").collect()] == ["u3"]
 
 
+def test_enrichment_gives_the_same_rows_on_a_stream(spark, tmp_path):
+    data = [(f'{{"username":"u{n}","age":{n * 9},"activity_time":"2024-01-01 {n:02d}:00:00","ip_address":"1.2.3.{n}",'
+             f'"log":"Mozilla/5.0 (Linux; Android 9; Tablet) Chrome/9{n}.0 Safari/537.36"}}').encode() for n in range(10)]
+    spark.createDataFrame([(d,) for d in data], "value binary").write.parquet(str(tmp_path / "in"))
+    bands = spark.createDataFrame([(16909060, 16909065, "A", "a", "r")], "ip_from bigint, ip_to bigint, country string, city string, region string")
+    stream = spark.readStream.schema("value binary").parquet(str(tmp_path / "in"))
+    sink = batches.staged_sink(str(tmp_path / "out"))
+    run_available(clicks.enrich(clicks.decode_clicks(stream), bands), sink, str(tmp_path / "check"))
+    batch = clicks.enrich(clicks.decode_clicks(spark.read.parquet(str(tmp_path / "in"))), bands)
+    streamed = spark.read.parquet(str(tmp_path / "out")).select(*batch.columns)
+    assert streamed.count() == 10 and streamed.exceptAll(batch).isEmpty() and batch.exceptAll(streamed).isEmpty()
+    assert {r.country for r in batch.collect()} == {"A", "Unknown"}
+
+
 def test_to_all_computes_a_batch_once_and_lets_it_go(spark, tmp_path):
     seen = []
     sink = batches.to_all(lambda df, n: seen.append((df.is_cached, n)), lambda df, n: seen.append((df.count(), n)))
