@@ -102,6 +102,13 @@ class Contract:
         fails = F.raise_error(message).cast("boolean")
         return df.where(F.when(_any(self.rules()), fails).otherwise(True))
 
+    def count_violations(self, df: DataFrame) -> DataFrame:
+        """Broken rules with their row counts, from one pass that moves one row per task."""
+        rules = self.rules()
+        totals = df.agg(*(F.count_if(broken).alias(f"_{i}") for i, (broken, _) in enumerate(rules)))
+        pairs = (F.struct(F.lit(name).alias("rule"), F.col(f"_{i}").alias("amount")) for i, (_, name) in enumerate(rules))
+        return totals.select(F.inline(F.array(*pairs))).where("amount > 0")
+
     def conform(self, df: DataFrame) -> DataFrame:
         """Declared columns in declared order and type."""
         return df.select(*(f.typed().alias(f.name) for f in self.fields))

@@ -14,7 +14,7 @@ from siltwork.streaming.batches import replace_table_sink
 from siltwork.streaming.queries import start
 
 
-def sentences(df: DataFrame, text_col: str, separator: str = "[.]") -> DataFrame:
+def sentences(df: DataFrame, text_col: str, separator: str = r"\.") -> DataFrame:
     """Texts cut at dots, as the text reader cuts files; column ``value``."""
     return df.select(words(F.col(text_col), separator).alias("value"))
 

@@ -69,8 +69,7 @@ def contract_kept(spark: SparkSession, folder: str) -> DataFrame:
 @query(f"""{BROKEN}, reasons AS (SELECT unnest(string_split(reasons, ';')) AS rule FROM checked WHERE reasons <> '')
 SELECT rule, COUNT(*) AS amount FROM reasons GROUP BY ALL""")
 def contract_summary(spark: SparkSession, folder: str) -> DataFrame:
-    checked = LINE_RULES.with_violations(_lines(spark, folder))
-    return checked.select(F.explode("violations").alias("rule")).groupBy("rule").agg(F.count("*").alias("amount"))
+    return LINE_RULES.count_violations(_lines(spark, folder))
 
 
 @query("""
