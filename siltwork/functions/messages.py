@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
@@ -23,8 +25,9 @@ def decode_messages(
     value_col: str = "value",
     stamp_format: str = STAMP_FORMAT,
     keep_corrupt: bool = False,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
-    """One typed row per message, on a batch or a stream.
+    """One typed row per message, on a batch or a stream; ``keep`` names columns to carry along.
 
     Text that is not JSON gives a row of nulls and a bad field gives null for
     that field alone.  ``keep_corrupt`` adds ``_corrupt_record`` with the
@@ -35,7 +38,12 @@ def decode_messages(
         wanted = StructType(list(schema.fields)).add(CORRUPT, StringType())
     options = {"mode": "PERMISSIVE", "timestampFormat": stamp_format, "columnNameOfCorruptRecord": CORRUPT}
     data = F.from_json(message_text(F.col(value_col)), wanted, options)
-    return df.select(data.alias("data")).select("data.*")
+    return df.select(data.alias("data"), *keep).select("data.*", *keep)
+
+
+def message_id(value: Column) -> Column:
+    """UUID-shaped id from the message text: a replayed message keeps its id."""
+    return F.regexp_replace(F.md5(value.cast("binary")), "^(.{8})(.{4})(.{4})(.{4})(.{12})$", "$1-$2-$3-$4-$5")
 
 
 def encode_rows(df: DataFrame, key_col: str | None = None) -> DataFrame:

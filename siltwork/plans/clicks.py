@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -17,7 +18,7 @@ from siltwork.operators import reports
 from siltwork.operators.columns import shape
 from siltwork.operators.geo import locate
 from siltwork.operators.merge import unprocessed
-from siltwork.plans.tables import CLICK_MESSAGE
+from siltwork.plans.tables import CLICK_MESSAGE, CLICKS
 from siltwork.sources.jdbc import uploaded_on
 from siltwork.streaming.batches import csv_sink, fan_out, json_sink, parquet_sink, staged_sink
 from siltwork.streaming.queries import EVERY, BatchSink, start
@@ -30,6 +31,12 @@ def decode_clicks(messages: DataFrame, keep_corrupt: bool = False) -> DataFrame:
     return decode_messages(messages, CLICK_MESSAGE.schema(), keep_corrupt=keep_corrupt)
 
 
+def table_route(path: str) -> BatchSink:
+    """Stage clicks with the columns a new row gets by default: id, arrival time, status."""
+    staged = staged_sink(path)
+    return lambda batch, batch_id: staged(CLICKS.fill_absent(batch), batch_id)
+
+
 def landing_sinks(base: str, day: dt.date, table_sink: BatchSink | None = None) -> BatchSink:
     """JSON, CSV or Parquet folder, or the table, chosen by batch id."""
     return fan_out(
@@ -37,7 +44,7 @@ def landing_sinks(base: str, day: dt.date, table_sink: BatchSink | None = None)
             "json": json_sink(base, day),
             "csv": csv_sink(base, day),
             "parquet": parquet_sink(base, day),
-            "table": table_sink or staged_sink(f"{base}/table"),
+            "table": table_sink or table_route(f"{base}/table"),
         }
     )
 
@@ -70,6 +77,22 @@ def waiting_clicks(clicks: DataFrame, ledger: DataFrame, day: dt.date | None = N
     return unprocessed(uploaded_on(clicks, day), ledger, "id")
 
 
+def process_waiting(clicks: DataFrame, bands: DataFrame, target: str, day: dt.date | None = None) -> None:
+    """Append the enriched form of every waiting click to the table at ``target``.
+
+    That table holds the click ids, so it is its own ledger: one committed write
+    both adds rows and marks them processed, and a rerun adds nothing twice.
+    """
+    spark = clicks.sparkSession
+    try:
+        done = spark.read.parquet(target)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        done = clicks.select("id").where(F.lit(False))
+    enrich(waiting_clicks(clicks, done, day), bands).write.mode("append").parquet(target)
+
+
 REPORTS: dict[str, Callable[[DataFrame], DataFrame]] = {
     "df_country": lambda clicks: reports.clicks_ranked(clicks, "country"),
     "df_city": lambda clicks: reports.clicks_ranked(clicks, "city"),

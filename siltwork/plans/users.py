@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from siltwork.functions.messages import decode_messages, street_address
+from siltwork.functions.messages import decode_messages, message_id, street_address
 from siltwork.plans.tables import NEW_USERS
 from siltwork.streaming.queries import BatchSink
 
@@ -51,16 +51,16 @@ def flatten_records(messages: DataFrame, value_col: str = "value") -> DataFrame:
 
 
 def decode_users(messages: DataFrame, value_col: str = "value") -> DataFrame:
-    """Typed rows from flat JSON messages, with a generated id where none is sent."""
-    users = decode_messages(messages, NEW_USERS.schema(), value_col)
-    return users.withColumn("id", F.coalesce("id", F.uuid()))
+    """Typed rows from flat JSON messages, with an id made from the message where none is sent."""
+    users = decode_messages(messages, NEW_USERS.schema(), value_col, keep=[value_col])
+    return users.withColumn("id", F.coalesce("id", message_id(F.col(value_col)))).drop(value_col)
 
 
 def keyed_append_sink(target: str, file_format: str = "parquet", **options: str) -> BatchSink:
     """Append micro-batches through a connector whose table is keyed.
 
     Such a table (Cassandra, for one) replaces a row with the same key, which
-    makes a replayed batch harmless provided the key comes with the message.
+    makes a replayed batch harmless: the key comes with, or from, the message.
     """
 
     def sink(batch: DataFrame, batch_id: int) -> None:

@@ -107,7 +107,25 @@ def test_click_messages_land_in_each_kind_of_sink(spark, tmp_path):
         clicks.start_landing(stream, base, DAY, str(tmp_path / "check"), every=None).awaitTermination()
     day = Path(base) / "input_2024-09-04"
     assert sorted(p.name for p in day.iterdir()) == ["batch_0.json", "batch_1.csv", "batch_2.parquet"]
-    assert [r.username for r in spark.read.parquet(f"{base}/table").collect()] == ["u3"]
+    row = spark.read.parquet(f"{base}/table").collect()[0]
+    assert row.username == "u3" and row.status == "uploaded" and len(row.id) == 36 and row.created_at is not None
+
+
+def test_waiting_clicks_are_processed_once(spark, tmp_path):
+    schema = "id string, username string, age int, ip_address string, activity_time timestamp, log string, created_at timestamp, status string"
+
+    def stored(*ids):
+        rows = [(i, "u", 30, "1.2.3.4", dt.datetime(2024, 1, 1, 10), "x", dt.datetime(2024, 1, 1), s) for i, s in ids]
+        return spark.createDataFrame(rows, schema)
+
+    bands = spark.createDataFrame([(16909060, 16909065, "A", "a")], "ip_from bigint, ip_to bigint, country string, city string")
+    target = str(tmp_path / "enriched")
+    first = stored(("1", "uploaded"), ("2", "transformed"))
+    clicks.process_waiting(first, bands, target)
+    clicks.process_waiting(first, bands, target)
+    clicks.process_waiting(first.union(stored(("3", "uploaded"))), bands, target)
+    assert sorted((r.id, r.country, r.age_group) for r in spark.read.parquet(target).collect()) == [
+        ("1", "A", "26-40"), ("3", "A", "26-40")]
 
 
 def test_enrichment_gives_the_same_rows_on_a_stream(spark, tmp_path):

@@ -142,6 +142,7 @@ def test_nested_user_flatten_skips_nulls_and_gets_an_id(spark):
     assert (row.first_name, row.address, row.post_code, row.dob) == ("Ada", "7 High St, Bath, UK", "BA1", "1990")
     users = decode_users(messages.encode_rows(flat)).collect()
     assert users[0].username == "ada" and len(users[0].id) == 36
+    assert decode_users(messages.encode_rows(flat)).collect()[0].id == users[0].id
 
 
 def test_encode_rows_keeps_key_and_value(spark):
