@@ -163,7 +163,7 @@ def build_silver(users: DataFrame, logins: DataFrame, lines: DataFrame, as_of: d
     users = write_shared(clean_users(users, as_of), "cleaned-users")
     logins = write_shared(clean_logins(logins), "cleaned-logs")
     lines = write_shared(clean_orders(lines), "cleaned-orders")
-    address = write_shared(address_dimension(users, lines), "address")
+    address = address_dimension(users, lines)
     gender = dimension(users, "gender")
     category = dimension(lines, "product_category")
     device = dimension(logins, "device")

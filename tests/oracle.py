@@ -43,7 +43,7 @@ def arrow_types(table) -> dict[str, str]:
 def difference(spark_frame, connection: duckdb.DuckDBPyConnection, sql: str) -> str | None:
     """What differs in names, types or rows; None when all agree."""
     ours = spark_frame.toArrow()
-    theirs = connection.execute(sql).to_arrow_table()
+    theirs = connection.sql(sql).to_arrow_table()
     if arrow_types(ours) != arrow_types(theirs):
         mine, other = arrow_types(ours), arrow_types(theirs)
         keys = sorted({*mine, *other})
