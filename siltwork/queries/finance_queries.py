@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 from siltwork.learning.features import assemble, scale_columns, split_rows
 from siltwork.learning.models import r_squared
 from siltwork.operators.merge import insert_ignore, upsert
-from siltwork.operators.reports import average_by
 from siltwork.plans import finance
 from siltwork.plans.tables import TRAINING
 from siltwork.queries import inputs
@@ -26,9 +25,7 @@ from siltwork.streaming.batches import staged_sink
 from siltwork.streaming.queries import run_available
 
 AVERAGES = f"""WITH {SETTLED_SQL}, averages AS (
-  SELECT customer_no, CAST(CAST((2 * SUM(amount_captured) + COUNT(*)) // (2 * COUNT(*)) AS DECIMAL(18,0)) AS DECIMAL(18,2))
-           AS rounded,
-         SUM(amount_captured) AS total, COUNT(*) AS n
+  SELECT customer_no, SUM(amount_captured) AS total, COUNT(*) AS n
   FROM charges WHERE status = 'succeeded' AND outcome_network_status = 'approved_by_network' AND paid
   GROUP BY customer_no
 ), settled AS (
