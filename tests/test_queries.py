@@ -8,6 +8,7 @@ import re
 import pytest
 
 import __spark_entry__ as driver
+from siltwork.queries import ORACLES, QUERIES
 from tests.oracle import connect, difference
 
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
@@ -33,11 +34,11 @@ def test_every_sql_has_its_query():
     assert set(driver.oracle_sql()) <= set(driver.queries())
 
 
-@pytest.mark.parametrize("name", sorted(driver.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, database, name):
-    frame = driver.queries()[name](spark, FOLDER)
-    if name in driver.oracle_sql():
-        assert difference(frame, database, driver.oracle_sql()[name]) is None
+    frame = QUERIES[name](spark, FOLDER)
+    if name in ORACLES:
+        assert difference(frame, database, ORACLES[name]) is None
     else:
         assert frame.count() > 0
     plan = frame._jdf.queryExecution().executedPlan().toString()
