@@ -1,16 +1,20 @@
 """Near-duplicate documents: MinHash signatures joined by a multi-index over Hamming distance.
 
-Each distinct shingle set has a signature of ``SYMBOLS`` symbols of 16 bits.  The
-symbols are split into ``CHUNKS`` chunks.  Two signatures that differ in at most
-``2 * CHUNKS - 1`` symbols have a chunk with at most one differing symbol
-(pigeonhole), so each chunk gives one key for each symbol left out, and every
-such pair meets under a key.  Sets with a Jaccard similarity of 0.8 differ in 8
-of 40 symbols on average and in 20 or more once in 30,000 pairs.
-
-Links are confirmed on full sets.  Under a key, rows are first held against
-two of them only; what that joins is one component.  Only pairs of different
-components that still share a key, and whose signatures are near, are then
-compared one by one.  So a large group of copies costs its size and not its
+Each distinct shingle set has a signature of ``HEAD`` symbols of 16 bits and
+a sample of one hash in each of ``BINS`` ranges, cut to 8 bits.  The head is split into ``CHUNKS`` chunks.  Two heads that
+differ in at most ``2 * CHUNKS - 1`` symbols have a chunk with at most one
+differing symbol (pigeonhole), so each chunk gives one key for each symbol left
+out, and every such pair meets under a key.  Sets with a Jaccard similarity of
+0.8 differ in 8 of 40 symbols on average and in 20 or more once in 30,000 pairs.
+The sample rules out pairs that are clearly less similar: its share of differing
+ranges is taken without replacement, and a pair at the threshold exceeds
+``DEVIATIONS`` standard deviations of it about once in 100,000 pairs.
+
+Links are confirmed on full sets.  Under a key, rows are first held against two
+of them only, one of them the row that meets the most others over all its keys;
+what that joins is one component.  Then pairs of different components that
+share a key are compared by signature inside the join, and the near ones
+confirmed one by one.  So a large group of copies costs its size and not its
 square, and no link between components is left out.
 """
 
@@ -26,12 +30,14 @@ from siltwork.llm import words as W
 from siltwork.llm.components import components
 from siltwork.shared import write_shared
 
-SYMBOLS, CHUNKS = 40, 10
-PER_CHUNK = SYMBOLS // CHUNKS
-DISTANCE = 2 * CHUNKS - 1
-FACTORS = W.seeds(SYMBOLS, 11)
-KEY_SEEDS = W.seeds(SYMBOLS, 13)
-SKETCH = "struct<n:bigint,node:bigint,signature:binary>"
+HEAD, CHUNKS, BINS = 40, 10, 512
+PER_CHUNK = HEAD // CHUNKS
+DISTANCE, DEVIATIONS = 2 * CHUNKS - 1, 4.3
+FACTORS = W.seeds(HEAD, 11)
+SHIFTS = W.seeds(HEAD, 13)
+BIN_SHIFT = np.uint64(64 - BINS.bit_length() + 1)
+SIGNED = ("n", "head", "sample")
+SKETCH = "struct<n:bigint,node:bigint,head:array<bigint>,sample:array<bigint>>"
 
 
 def _row_fold(values: np.ndarray, bounds: np.ndarray, fold: np.ufunc) -> np.ndarray:
@@ -39,63 +45,108 @@ def _row_fold(values: np.ndarray, bounds: np.ndarray, fold: np.ufunc) -> np.ndar
     return fold.reduceat(values, bounds[:-1]) if len(values) else values
 
 
+def _longs(rows: list[np.ndarray], width: int) -> pa.Array:
+    """Rows of small symbols as lists of 64-bit numbers."""
+    packed = np.concatenate(rows).view(np.int64) if rows else np.zeros((0, width), np.int64)
+    offsets = np.arange(len(packed) + 1, dtype=np.int32) * width
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(packed.ravel()))
+
+
+def _nodes(found: np.ndarray, bounds: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Fingerprint of each row's set, the rows that have one, and where they stand."""
+    full = np.flatnonzero(n > 0)
+    edges = np.append(bounds[:-1][full], len(found))
+    node = np.zeros(len(n), np.uint64)
+    if len(full):
+        node[full] = W.mix(_row_fold(W.mix(found + W.STEP), edges, np.add) + n[full].astype(np.uint64))
+    return node.view(np.int64), full, edges
+
+
 def sketch_of(width: int):
     """Column function: text to set size, 64-bit set fingerprint and signature."""
 
     @F.arrow_udf(SKETCH)
     def sketch(texts: pa.Array) -> pa.Array:
-        sizes, nodes, signatures = [], [], []
+        sizes, nodes, heads, samples = [], [], [], []
         for _, raw, offsets in W.text_chunks(texts):
             found, bounds = W.shingle_sets(W.words(raw, offsets), width)
             n = np.diff(bounds)
-            full = np.flatnonzero(n > 0)
-            edges = np.append(bounds[:-1][full], len(found))
-            node = np.zeros(len(n), np.uint64)
-            symbols = np.zeros((len(n), SYMBOLS), np.uint16)
+            node, full, edges = _nodes(found, bounds, n)
+            head = np.zeros((len(n), HEAD), np.uint16)
+            sample = np.zeros((len(n), BINS), np.uint8)
             if len(full):
-                node[full] = W.mix(_row_fold(W.mix(found + W.STEP), edges, np.add) + n[full].astype(np.uint64))
-                for k in range(SYMBOLS):
-                    least = _row_fold(found * FACTORS[k] + KEY_SEEDS[k], edges, np.minimum)
-                    symbols[full, k] = W.mix(least).astype(np.uint16)
+                for k in range(HEAD):
+                    least = _row_fold(found * FACTORS[k] + SHIFTS[k], edges, np.minimum)
+                    head[full, k] = W.mix(least).astype(np.uint16)
+                # sets are sorted, so the first hash of a range is its smallest
+                cell = np.repeat(np.arange(len(n)) * BINS, n) + (found >> BIN_SHIFT).astype(np.int64)
+                lead = np.flatnonzero(np.diff(cell, prepend=-1))
+                sample.reshape(-1)[cell[lead]] = found[lead] % np.uint64(255) + np.uint64(1)
             sizes.append(n)
-            nodes.append(node.view(np.int64))
-            signatures.append(symbols)
-        n = np.concatenate(sizes) if sizes else np.zeros(0, np.int64)
-        packed = np.concatenate(signatures).tobytes() if signatures else b""
-        fixed = pa.FixedSizeBinaryArray.from_buffers(pa.binary(2 * SYMBOLS), len(n), [None, pa.py_buffer(packed)])
+            nodes.append(node)
+            heads.append(head)
+            samples.append(sample)
+        n = pa.array(np.concatenate(sizes) if sizes else np.zeros(0, np.int64))
         node = pa.array(np.concatenate(nodes) if nodes else np.zeros(0, np.int64))
-        return pa.StructArray.from_arrays([pa.array(n), node, fixed.cast(pa.binary())], ["n", "node", "signature"])
+        lists = [_longs(heads, CHUNKS), _longs(samples, BINS // 8)]
+        return pa.StructArray.from_arrays([n, node, *lists], ["n", "node", "head", "sample"])
 
     return sketch
 
 
-def _symbols(signatures: pa.Array) -> np.ndarray:
-    _, where, data = signatures.buffers()
-    start = np.frombuffer(where, np.int32)[signatures.offset] if len(signatures) else 0
-    raw = np.frombuffer(data, np.uint8)[start : start + 2 * SYMBOLS * len(signatures)] if len(signatures) else np.zeros(0, np.uint8)
-    return raw.view(np.uint16).reshape(-1, SYMBOLS)
-
-
 @F.arrow_udf(T.ArrayType(T.LongType()))
-def index_keys(signatures: pa.Array) -> pa.Array:
-    """A key for each chunk and each of its symbols left out."""
-    s = _symbols(signatures).astype(np.uint64)
+def index_keys(heads: pa.Array) -> pa.Array:
+    """A key for each symbol of a head: the other symbols of its chunk."""
+    s = np.asarray(heads.flatten()).view(np.uint16).reshape(-1, HEAD).astype(np.uint64)
     out = np.empty(s.shape, np.uint64)
-    for k in range(SYMBOLS):
+    for k in range(HEAD):
         chunk = k // PER_CHUNK * PER_CHUNK
-        key = np.full(len(s), KEY_SEEDS[k], np.uint64)
+        key = np.full(len(s), SHIFTS[k], np.uint64)
         for j in range(chunk, chunk + PER_CHUNK):
             if j != k:
                 key = key * W.STEP + s[:, j]
         out[:, k] = W.mix(key)
-    offsets = np.arange(len(s) + 1, dtype=np.int32) * SYMBOLS
+    offsets = np.arange(len(s) + 1, dtype=np.int32) * HEAD
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(out.view(np.int64).ravel()))
 
 
-@F.arrow_udf(T.IntegerType())
-def distance(a: pa.Array, b: pa.Array) -> pa.Array:
-    """Symbols in which two signatures differ."""
-    return pa.array((_symbols(a) != _symbols(b)).sum(axis=1).astype(np.int32))
+def _differing(x: Column, y: Column, bits: int) -> Column:
+    """How many of the symbols of ``bits`` bits in two 64-bit numbers differ."""
+    fold, step = x.bitwiseXOR(y), bits // 2
+    while step:
+        fold = fold.bitwiseOR(F.shiftrightunsigned(fold, step))
+        step //= 2
+    return F.bit_count(fold.bitwiseAND(F.lit(sum(1 << at for at in range(0, 64, bits)))))
+
+
+def _distance(a: str, b: str, bits: int) -> Column:
+    return F.aggregate(F.zip_with(a, b, lambda x, y: _differing(x, y, bits)), F.lit(0), lambda s, x: s + x)
+
+
+def _may_link(a: str, b: str, percent: int) -> Column:
+    """False where heads are too far apart or the samples rule the similarity out.
+
+    The limit is that of a pair just at the threshold: its union has ``union``
+    hashes, which are expected to use ``used`` ranges.
+    """
+    share = 1 - percent / 100
+    union = (F.col(f"{a}_n") + F.col(f"{b}_n")) / (2 - share)
+    empty = F.exp(-union / BINS)
+    used = BINS * (1 - empty)
+    varies = BINS * empty * F.greatest(F.lit(0.0), 1 - (1 + union / BINS) * empty)
+    spread = F.sqrt(share * (1 - share) * used * F.greatest(F.lit(0.0), 1 - used / union) + share * share * varies)
+    limit = share * used + DEVIATIONS * spread + 2
+    return (_distance(f"{a}_head", f"{b}_head", 16) <= DISTANCE) & (_distance(f"{a}_sample", f"{b}_sample", 8) <= limit)
+
+
+def _first_meeting(place: str, a: str, b: str) -> Column:
+    """True for one of the keys under which two heads meet: the first of the first chunk that has one."""
+    chunk = F.floor(F.col(place) / PER_CHUNK)
+    here = _differing(F.element_at(a, (chunk + 1).cast("int")), F.element_at(b, (chunk + 1).cast("int")), 16)
+    earlier = F.lit(False)
+    for c in range(CHUNKS - 1):
+        earlier = earlier | ((F.lit(c) < chunk) & (_differing(F.col(a)[c], F.col(b)[c], 16) <= 1))
+    return ((here == 1) | (F.col(place) % PER_CHUNK == 0)) & ~earlier
 
 
 def sets_of(width: int):
@@ -106,13 +157,7 @@ def sets_of(width: int):
         nodes, offsets, values, last = [], [np.zeros(1, np.int64)], [], 0
         for _, raw, where in W.text_chunks(texts):
             found, bounds = W.shingle_sets(W.words(raw, where), width)
-            n = np.diff(bounds)
-            full = np.flatnonzero(n > 0)
-            node = np.zeros(len(n), np.uint64)
-            if len(full):
-                edges = np.append(bounds[:-1][full], len(found))
-                node[full] = W.mix(_row_fold(W.mix(found + W.STEP), edges, np.add) + n[full].astype(np.uint64))
-            nodes.append(node.view(np.int64))
+            nodes.append(_nodes(found, bounds, np.diff(bounds))[0])
             offsets.append(bounds[1:] + last)
             values.append(found.view(np.int64))
             last += len(found)
@@ -163,32 +208,33 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     sketched = docs.select(F.col(id_col).alias("id"), sketch_of(width)(text_col).alias("s"))
     sketched = write_shared(sketched.select("id", "s.*"), "sketches")
-    shown = sketched.where("n > 0")
-    classes = shown.groupBy("node").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("signature").alias("signature"))
-    classes = write_shared(classes, "classes")
-
-    rows = classes.select("node", F.explode(index_keys("signature")).alias("key"))
-    met = rows.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high"))
-    met = write_shared(met.where("low < high"), "keys")
-    rows = write_shared(rows.join(met, "key"), "buckets")
-    stars = rows.select("node", F.explode(F.array("low", "high")).alias("center")).where("node != center")
-    near = _near_pairs(stars.select(*_ordered("node", "center")).distinct(), classes, percent)
-    near = write_shared(near, "pairs")
+    first = [F.first(c).alias(c) for c in SIGNED]
+    classes = write_shared(sketched.where("n > 0").groupBy("node").agg(F.min("id").alias("id"), *first), "classes")
+
+    rows = classes.select("node", F.posexplode(index_keys("head")).alias("place", "key"))
+    shared = write_shared(rows.groupBy("key").agg(F.count("*").alias("rows")).where("rows > 1"), "keys")
+    rows = write_shared(rows.join(shared, "key"), "buckets")
+    met = write_shared(rows.groupBy("node").agg(F.sum("rows").alias("met")), "met")
+    central = F.max(F.struct("met", "node"))["node"].alias("central")
+    centers = rows.join(met, "node").groupBy("key").agg(central, F.min("node").alias("low"))
+    stars = rows.join(write_shared(centers, "centers"), "key")
+    stars = stars.select("node", F.explode(F.array("central", "low")).alias("center")).where("node != center")
+    near = write_shared(_near_pairs(stars.select(*_ordered("node", "center")).distinct(), classes, percent), "pairs")
     links = write_shared(confirmed(near, classes, docs, id_col, text_col, width, percent), "links")
     labels = components(links)
 
-    placed = write_shared(_relabel(rows.select("key", "node"), labels), "buckets")
+    placed = write_shared(_relabel(rows.select("key", "place", "node"), labels), "buckets")
     split = placed.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("key")
-    left = write_shared(placed.join(split, "key"), "split")
-    left = left.join(classes.select("node", "n", "signature"), "node")
-    left = write_shared(left, "split")
-    x, y = left.alias("x"), left.alias("y")
+    left = write_shared(placed.join(write_shared(split, "keys"), "key"), "split")
+    left = write_shared(left.join(classes.select("node", *SIGNED), "node"), "split")
+    x = left.select("key", *[F.col(c).alias(f"x_{c}") for c in ("place", "node", "label", *SIGNED)])
+    y = left.select("key", *[F.col(c).alias(f"y_{c}") for c in ("node", "label", *SIGNED)])
     close = (
-        x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.label") < F.col("y.label")) & _sizes_fit("x.n", "y.n", percent))
-        .select(F.col("x.node").alias("p"), F.col("y.node").alias("q"), F.col("x.signature").alias("s"), F.col("y.signature").alias("t"))
-        .where(distance("s", "t") <= DISTANCE)
-        .select(*_ordered("p", "q"))
-        .distinct()
+        x.join(y, "key")
+        .where((F.col("x_label") < F.col("y_label")) & _sizes_fit("x_n", "y_n", percent))
+        .where(_first_meeting("x_place", "x_head", "y_head"))
+        .where(_may_link("x", "y", percent))
+        .select(*_ordered("x_node", "y_node"))
         .join(near, ["a", "b"], "left_anti")
     )
     more = confirmed(write_shared(close, "pairs"), classes, docs, id_col, text_col, width, percent)
@@ -223,7 +269,7 @@ def _sizes_fit(n: str, m: str, percent: int) -> Column:
 
 
 def _near_pairs(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    one = classes.select(F.col("node").alias("a"), F.col("n").alias("_na"), F.col("signature").alias("_sa"))
-    two = classes.select(F.col("node").alias("b"), F.col("n").alias("_nb"), F.col("signature").alias("_sb"))
-    found = pairs.join(one, "a").join(two, "b").where(_sizes_fit("_na", "_nb", percent))
-    return found.where(distance("_sa", "_sb") <= DISTANCE).select("a", "b")
+    one = classes.select(F.col("node").alias("a"), *[F.col(c).alias(f"a_{c}") for c in SIGNED])
+    two = classes.select(F.col("node").alias("b"), *[F.col(c).alias(f"b_{c}") for c in SIGNED])
+    found = pairs.join(one, "a").join(two, "b").where(_sizes_fit("a_n", "b_n", percent))
+    return found.where(_may_link("a", "b", percent)).select("a", "b")
