@@ -7,9 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from siltwork.llm.exact import DigestIndex
+from siltwork.llm.language import identify
+from siltwork.llm.licences import TEMPLATES, THRESHOLD, bigrams_of, licence_scan
+from siltwork.llm.lines import drop_repeated_lines
 from siltwork.llm.near import near_duplicates
 from siltwork.llm.shards import shard_rows
 from siltwork.llm.shipping import ship
+from siltwork.llm.toxicity import toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -91,3 +95,77 @@ FROM (
 """)
 def op7_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return DigestIndex(spark).absorb(table(spark, folder, "documents"))
+
+
+@query()
+def op4_ecoc_language(spark: SparkSession, folder: str) -> DataFrame:
+    return identify(table(spark, folder, "documents"))
+
+
+@query()
+def op9_toxic_segments(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query(r"""
+WITH lines AS (
+    SELECT doc_id, text, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS pos FROM documents
+),
+full_lines AS (
+    SELECT doc_id, pos, regexp_replace(line, '^[ \t\r]+|[ \t\r]+$', '', 'g') AS line FROM lines WHERE regexp_matches(line, '[^ \t\r]')
+),
+windows AS (
+    SELECT doc_id, pos AS first, lead(pos, 2) OVER w AS last, line || chr(10) || lead(line, 1) OVER w || chr(10) || lead(line, 2) OVER w AS win
+    FROM full_lines WINDOW w AS (PARTITION BY doc_id ORDER BY pos)
+),
+placed AS (
+    SELECT *, count(*) OVER (PARTITION BY win) AS places, first_value(doc_id) OVER o AS lead_doc, first_value(first) OVER o AS lead_first, first_value(last) OVER o AS lead_last
+    FROM windows WHERE last IS NOT NULL WINDOW o AS (PARTITION BY win ORDER BY doc_id, first)
+),
+later AS (
+    SELECT doc_id, CASE WHEN doc_id = lead_doc THEN greatest(first, lead_last + 1) ELSE first END AS first, last
+    FROM placed WHERE places > 1 AND NOT (doc_id = lead_doc AND first = lead_first)
+),
+gone AS (SELECT DISTINCT doc_id, unnest(range(first, last + 1)) AS pos FROM later WHERE first <= last)
+SELECT d.doc_id, CAST(len(string_split(d.text, chr(10))) AS INTEGER) AS n_lines, CAST(coalesce(g.n, 0) AS INTEGER) AS removed_lines,
+    CASE WHEN g.n IS NULL THEN d.text ELSE coalesce(k.text, '') END AS text
+FROM documents d
+LEFT JOIN (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id) g USING (doc_id)
+LEFT JOIN (
+    SELECT doc_id, string_agg(line, chr(10) ORDER BY pos) AS text FROM lines WHERE (doc_id, pos) NOT IN (SELECT doc_id, pos FROM gone) GROUP BY doc_id
+) k USING (doc_id)
+""")
+def op6_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return drop_repeated_lines(table(spark, folder, "documents"))
+
+
+def _licence_sql() -> str:
+    rows = [(name, g) for name, texts in sorted(TEMPLATES.items()) for text in texts for g in [bigrams_of(text)]]
+    values = ", ".join(f"('{name}', [{', '.join(repr(x) for x in grams)}])" for name, grams in rows)
+    return rf"""
+WITH templates(licence, grams) AS (VALUES {values}),
+lines AS (SELECT doc_id, 'line' AS unit, unnest(string_split(text, chr(10))) AS span, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS place FROM documents),
+paragraphs AS (
+    SELECT doc_id, 'paragraph' AS unit, unnest(regexp_split_to_array(text, '\n[ \t\r]*\n')) AS span, generate_subscripts(regexp_split_to_array(text, '\n[ \t\r]*\n'), 1) - 1 AS place
+    FROM documents
+),
+texts AS (SELECT doc_id, 'text' AS unit, text AS span, 0 AS place FROM documents WHERE contains(text, chr(10)) AND regexp_matches(text, '\n[ \t\r]*\n')),
+units AS (SELECT * FROM lines UNION ALL SELECT * FROM paragraphs WHERE contains(span, chr(10)) UNION ALL SELECT * FROM texts),
+plain AS (SELECT *, string_split(trim(regexp_replace(lower(span), '[^\p{{L}}\p{{N}}]+', ' ', 'g')), ' ') AS words FROM units),
+grams AS (
+    SELECT doc_id, unit, place, span, list_distinct(list_transform(range(1, len(words)), lambda i: words[i] || ' ' || words[i + 1])) AS grams
+    FROM plain WHERE len(words) > 1
+),
+compared AS (
+    SELECT doc_id, unit, CAST(place AS INTEGER) AS place, t.licence, round(2.0::DOUBLE * len(list_intersect(g.grams, t.grams)) / (len(g.grams) + len(t.grams)), 6) AS dice,
+        CAST(len(g.grams) AS INTEGER) AS n_bigrams, span
+    FROM grams g JOIN templates t ON len(g.grams) BETWEEN len(t.grams) * {THRESHOLD} / (2 - {THRESHOLD}) AND len(t.grams) * (2 - {THRESHOLD}) / {THRESHOLD}
+)
+SELECT * FROM compared WHERE dice >= {THRESHOLD}
+QUALIFY row_number() OVER (PARTITION BY doc_id, unit, place ORDER BY dice DESC, licence) = 1
+"""
+
+
+@query(_licence_sql())
+def op1_licence_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return licence_scan(table(spark, folder, "documents"))

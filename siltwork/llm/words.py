@@ -167,3 +167,26 @@ def shingle_sets(found: Words, width: int) -> tuple[np.ndarray, np.ndarray]:
     keep[1:] = (out[1:] != out[:-1]) | (rows[1:] != rows[:-1])
     out = out[keep]
     return out, np.searchsorted(rows[keep], np.arange(count + 1))
+
+
+LETTER = np.zeros(256, bool)
+LETTER[[*range(ord("A"), ord("Z") + 1), *range(ord("a"), ord("z") + 1), *range(0x80, 0x100)]] = True
+
+
+def lowered(raw: np.ndarray) -> np.ndarray:
+    """Bytes in lower case: ASCII, and the Latin letters that UTF-8 writes with 0xC3."""
+    out = LOWER[raw]
+    after = np.flatnonzero(raw[:-1] == 0xC3) + 1
+    low = raw[after]
+    out[after] = low + np.where((low >= 0x80) & (low <= 0x9E) & (low != 0x97), np.uint8(0x20), np.uint8(0))
+    return out
+
+
+PLAIN_VALUES = seeds(256, 7)
+
+
+def letter_words(raw: np.ndarray, offsets: np.ndarray) -> tuple[Words, np.ndarray]:
+    """Runs of letters (all bytes beyond ASCII count as such), and the per-byte values of their hashes."""
+    starts, ends, first = runs(LETTER[raw], offsets)
+    values = PLAIN_VALUES[lowered(raw)]
+    return Words(starts, ends, first, run_hashes(values, starts, ends)), values
