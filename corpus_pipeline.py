@@ -4,14 +4,23 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from siltwork.llm.decontamination import drop_contaminated
 from siltwork.llm.exact import DigestIndex, drop_copies
 from siltwork.llm.near import near_duplicates
+from siltwork.llm.packing import pack_documents
 from siltwork.llm.shipping import ship
+from siltwork.llm.toxicity import keep_civil
 from siltwork.shared import write_shared
 
 STAGE_WORDS = 5
 
 
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents scored toxic go; the model learns from the labels of documents that are not held out."""
+    ship(spark)
+    return keep_civil(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of equal texts stays."""
     ship(spark)
@@ -21,12 +30,32 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The smallest id of each group of near-duplicates over five-word shingles stays."""
     ship(spark)
-    gone = near_duplicates(docs, width=STAGE_WORDS).where("NOT kept").select("doc_id")
-    return docs.join(write_shared(gone, "decisions"), "doc_id", "left_anti").select(*docs.columns)
+    gone = near_duplicates(docs, width=STAGE_WORDS).where("NOT kept").selectExpr("doc_id AS __sw_id")
+    gone = write_shared(gone, "decisions")
+    return docs.join(gone, docs["doc_id"] == gone["__sw_id"], "left_anti")
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item go."""
+    ship(spark)
+    return drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """A bin and a place in it for every byte of every document."""
+    ship(spark)
+    return pack_documents(docs)
 
 
-STAGES = [("exact dedup", exact_dedup), ("MinHash near-dedup", near_dedup)]
+STAGES = [
+    ("toxicity", toxicity),
+    ("exact dedup", exact_dedup),
+    ("MinHash near-dedup", near_dedup),
+    ("benchmark decontamination", decontamination),
+    ("best-fit packing", packing),
+]
 
+# Learned scores, iterated components and a greedy packing: not for SQL; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 

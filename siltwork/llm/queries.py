@@ -6,11 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from siltwork.llm.decontamination import benchmark_matches
 from siltwork.llm.exact import DigestIndex
 from siltwork.llm.language import identify
 from siltwork.llm.licences import TEMPLATES, THRESHOLD, bigrams_of, licence_scan
 from siltwork.llm.lines import drop_repeated_lines
 from siltwork.llm.near import near_duplicates
+from siltwork.llm.packing import pack_documents
+from siltwork.llm.secrets import secret_scan
 from siltwork.llm.shards import shard_rows
 from siltwork.llm.shipping import ship
 from siltwork.llm.toxicity import toxicity
@@ -169,3 +172,18 @@ QUALIFY row_number() OVER (PARTITION BY doc_id, unit, place ORDER BY dice DESC,
 @query(_licence_sql())
 def op1_licence_scan(spark: SparkSession, folder: str) -> DataFrame:
     return licence_scan(table(spark, folder, "documents"))
+
+
+@query()
+def op3_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return pack_documents(table(spark, folder, "documents"))
+
+
+@query()
+def op8_template_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return benchmark_matches(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query()
+def op10_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return secret_scan(table(spark, folder, "documents"))
