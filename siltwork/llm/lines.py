@@ -66,7 +66,8 @@ def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         ).otherwise(F.concat(out, F.array(x))),
     )
     covered = write_shared(covered.select(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark"), merged.alias("gone")), "removals")
-    out = docs.join(covered, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("mark") == F.col("_mark")), "left")
+    # one way at every size: removals grow with the input, so they are not broadcast
+    out = docs.join(covered.hint("merge"), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("mark") == F.col("_mark")), "left")
     all_lines = F.split("text", "\n", -1)
     kept = F.filter(all_lines, lambda line, i: ~F.exists("gone", lambda s: i.between(s["first"], s["last"])))
     clean = F.when(F.col("gone").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
