@@ -20,6 +20,7 @@ WINDOW = 8
 LITERALS = 4
 COVERAGE = 0.5
 CONSISTENT = 0.8
+ENOUGH = 6  # windows that tell whatever the length of the item: 13 words in a row
 INDEX_WINDOWS = 4_000_000  # at 8 bytes: what is sent to executors has 32 MB at most
 
 # Units of measure, in lower case.
@@ -170,14 +171,15 @@ def benchmark_matches(
     literals: int = LITERALS,
     coverage: float = COVERAGE,
     consistent: float = CONSISTENT,
+    enough: int = ENOUGH,
     index_windows: int = INDEX_WINDOWS,
 ) -> DataFrame:
     """Pairs of a document and a benchmark item it contains.
 
     ``doc_id``, ``item_id``, ``windows`` (distinct template windows of the item found),
     ``item_windows``, ``coverage``, ``consistency``, ``verbatim`` (all slot values equal).
-    A pair counts from ``coverage`` of the item's windows and ``consistent`` of its
-    slots.  A window with fewer than ``literals`` literal words matches only
+    A pair counts from ``coverage`` of the item's windows, or ``enough`` of them, and
+    ``consistent`` of its slots.  A window with fewer than ``literals`` literal words matches only
     with the values that stand there, so tables of numbers do not match each other.
 
     Benchmark windows up to ``index_windows`` go to the executors as one sorted
@@ -226,7 +228,7 @@ def benchmark_matches(
             F.coalesce(F.col("main") / F.col("n"), F.lit(1.0)).alias("consistency"),
             F.coalesce(F.col("same") == F.col("n"), F.lit(True)).alias("verbatim"),
         )
-        .where((F.col("coverage") >= coverage) & (F.col("consistency") >= consistent))
+        .where(((F.col("coverage") >= coverage) | (F.col("windows") >= enough)) & (F.col("consistency") >= consistent))
     )
 
 

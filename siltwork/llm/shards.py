@@ -82,14 +82,14 @@ def shard_rows(docs: DataFrame, shards: int = 24, id_col: str = "doc_id", text_c
 
 
 def write_shards(docs: DataFrame, path: str, shards: int = 24, id_col: str = "doc_id", block_bytes: int = BLOCK_BYTES) -> None:
-    """Write whole rows below ``path/shard=N``, a shard in as many files as its bytes need.
+    """Write whole rows below ``path/__shard=N``, a shard in as many files as its bytes need.
 
     Rows of a shard are dealt over blocks by a hash of the row, so no task holds a whole shard.
     """
     ship(docs.sparkSession)
-    placed = docs.withColumn("shard", shard_of(shards)(F.col(id_col).cast("bigint")))
+    placed = docs.withColumn("__shard", shard_of(shards)(F.col(id_col).cast("bigint")))
     text_bytes = sum((F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0)) for c in docs.columns), F.lit(0))
     total = docs.agg(F.sum(text_bytes.cast("bigint"))).first()[0] or 0
     blocks = max(1, -(-total // (shards * block_bytes)))
     block = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]), F.lit(blocks))
-    placed.repartition(shards * blocks, "shard", block).write.partitionBy("shard").parquet(path)
+    placed.repartition(shards * blocks, "__shard", block).write.partitionBy("__shard").parquet(path)
