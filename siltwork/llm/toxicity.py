@@ -292,6 +292,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     """
     marks = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & ~held_out("doc_id"))
     marks = bounded(marks.groupBy(F.col("doc_id").alias("__id")).agg((F.max("toxic") == 1).alias("toxic")), F.col("__id"), sample_docs)
+    marks = F.broadcast(marks)  # sample_docs ids and flags, so texts do not move
     rows = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("text")).where("text IS NOT NULL").join(marks, "__id")
     rows = write_shared(rows.select("__id", "toxic", "text", likeness("text").alias("like")), "labelled")
     once = rows.groupBy("like", "toxic").agg(F.min("__id").alias("__id"))
