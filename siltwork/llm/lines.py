@@ -53,28 +53,21 @@ def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     # what the first place covers in the same text stays
     start = F.when(own, F.greatest(F.col("first"), F.col("lead_last") + 1)).otherwise(F.col("first"))
     covered = later.select("doc_id", "mark", start.alias("first"), "last").where("first <= last").distinct()
-    covered = covered.groupBy("doc_id", "mark").agg(F.sort_array(F.collect_list(F.struct("first", "last"))).alias("spans"))
-    merged = F.aggregate(
-        "spans",
-        F.lit(None).cast("array<struct<first:int,last:int>>"),
-        lambda out, x: F.when(out.isNull(), F.array(x)).when(
-            x["first"] <= F.element_at(out, -1)["last"] + 1,
-            F.concat(
-                F.slice(out, 1, F.size(out) - 1),
-                F.array(F.struct(F.element_at(out, -1)["first"].alias("first"), F.greatest(F.element_at(out, -1)["last"], x["last"]).alias("last"))),
-            ),
-        ).otherwise(F.concat(out, F.array(x))),
-    )
+    covered = covered.groupBy("doc_id", "mark").agg(F.collect_list(F.sequence("first", "last")).alias("runs"))
+    merged = F.array_distinct(F.flatten("runs"))
     covered = write_shared(covered.select(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark"), merged.alias("gone")), "removals")
     # one way at every size: removals grow with the input, so they are not broadcast
     out = docs.join(covered.hint("merge"), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("mark") == F.col("_mark")), "left")
-    all_lines = F.split("text", "\n", -1)
-    kept = F.filter(all_lines, lambda line, i: ~F.exists("gone", lambda s: i.between(s["first"], s["last"])))
+    # lines are split once for a text, and places compared by hash: linear in the lines of a text
+    kept = F.transform(
+        F.array(F.split("text", "\n", -1)),
+        lambda lines: F.transform(F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), "gone"), lambda i: lines[i]),
+    )[0]
     clean = F.when(F.col("gone").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
-    removed = F.aggregate(F.coalesce("gone", F.array().cast("array<struct<first:int,last:int>>")), F.lit(0), lambda s, x: s + x["last"] - x["first"] + 1)
+    breaks = F.char_length("text") - F.char_length(F.translate("text", "\n", ""))
     return out.select(
         "doc_id",
-        F.when(F.col("text").isNull(), 0).otherwise(F.size(all_lines)).alias("n_lines"),
-        removed.alias("removed_lines"),
+        F.coalesce(breaks + 1, F.lit(0)).alias("n_lines"),
+        F.when(F.col("gone").isNull(), 0).otherwise(F.size("gone")).alias("removed_lines"),
         clean.alias("text"),
     )
