@@ -71,6 +71,7 @@ def segments(scores: np.ndarray, places: np.ndarray, drift: float) -> list[tuple
     """
     left: list[float] = []  # running sum before each segment that may still grow
     right: list[float] = []
+    lower: list[int] = []  # the nearest earlier segment that starts lower, so that a search skips what lies between
     spans: list[tuple[int, int]] = []
     total, after = 0.0, 0
     for score, place in zip(scores.tolist(), places.tolist()):
@@ -82,14 +83,16 @@ def segments(scores: np.ndarray, places: np.ndarray, drift: float) -> list[tuple
         at = len(left) - 1
         while True:
             while at >= 0 and left[at] >= low:
-                at -= 1
+                at = lower[at]
             if at < 0 or right[at] >= high:
                 break
             low, first = left[at], spans[at][0]
-            del left[at:], right[at:], spans[at:]
-            at -= 1
+            before = lower[at]
+            del left[at:], right[at:], lower[at:], spans[at:]
+            at = before
         left.append(low)
         right.append(high)
+        lower.append(at)
         spans.append((first, place))
     return [(a, b, high - low) for (a, b), low, high in zip(spans, left, right)]
 
