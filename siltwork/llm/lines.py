@@ -64,10 +64,9 @@ def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         lambda lines: F.transform(F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), "gone"), lambda i: lines[i]),
     )[0]
     clean = F.when(F.col("gone").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
-    breaks = F.char_length("text") - F.char_length(F.translate("text", "\n", ""))
     return out.select(
         "doc_id",
-        F.coalesce(breaks + 1, F.lit(0)).alias("n_lines"),
+        F.when(F.col("text").isNull(), 0).otherwise(F.size(F.split("text", "\n", -1))).alias("n_lines"),
         F.when(F.col("gone").isNull(), 0).otherwise(F.size("gone")).alias("removed_lines"),
         clean.alias("text"),
     )
