@@ -1,4 +1,9 @@
-"""A corpus from raw documents to packed bins; each stage works on what the one before kept."""
+"""A corpus from raw documents to packed bins; each stage works on what the one before kept.
+
+Stages return all columns of their input, extra ones too, but for the last. Null, empty and very
+long texts, null ids, ties and repeated rows are treated as the operator of the
+stage says; of rows repeated whole, exact dedup keeps one.  An empty table gives an empty one.
+"""
 
 from __future__ import annotations
 
