@@ -14,8 +14,13 @@ Links are confirmed on full sets.  Under a key, rows are first held against two
 of them only, one of them the row that meets the most others over all its keys;
 what that joins is one component.  Then pairs of different components that
 share a key are compared by signature inside the join, and the near ones
-confirmed one by one.  So a large group of copies costs its size and not its
-square, and no link between components is left out.
+confirmed one by one.  Under a key, the rows of its largest component are not
+held against each other: a large group of copies costs its size times the rows
+outside it.  Where many rows meet that are not near, as around a passage that
+many documents share, keys are parted once more: heads in reach of each other have
+``HEAD - DISTANCE`` symbols in common, so one of these is among the
+``PREFIX`` rarest of both, and rows meet under a key and such a symbol.  No link
+between components is left out.
 """
 
 from __future__ import annotations
@@ -33,6 +38,9 @@ from siltwork.shared import write_shared
 HEAD, CHUNKS, BINS = 40, 10, 512
 PER_CHUNK = HEAD // CHUNKS
 DISTANCE, DEVIATIONS = 2 * CHUNKS - 1, 4.3
+PREFIX = DISTANCE + 1
+SYMBOLS = 1 << 16
+CROWD = 100_000  # pairs under a key from which it may be parted by symbols
 FACTORS = W.seeds(HEAD, 11)
 SHIFTS = W.seeds(HEAD, 13)
 BIN_SHIFT = np.uint64(64 - BINS.bit_length() + 1)
@@ -110,6 +118,41 @@ def index_keys(heads: pa.Array) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(out.view(np.int64).ravel()))
 
 
+def _tokens(heads: pa.Array) -> np.ndarray:
+    """A number for each symbol at its place in the head."""
+    s = np.asarray(heads.flatten()).view(np.uint16).reshape(-1, HEAD).astype(np.int64)
+    return s + np.arange(HEAD) * SYMBOLS
+
+
+def _count_symbols(batches):
+    """Rows (token, n), summed over a task."""
+    seen = np.zeros(HEAD * SYMBOLS, np.int64)
+    for batch in batches:
+        seen += np.bincount(_tokens(batch.column(0)).ravel(), minlength=len(seen))
+    used = np.flatnonzero(seen)
+    yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(seen[used])], ["token", "n"])
+
+
+def rarest_symbols(heads: DataFrame):
+    """Column function: head to its ``PREFIX`` rarest symbols, by their counts over ``heads``.
+
+    The counts that reach the driver and the tasks are ``HEAD * SYMBOLS`` at most, 21 MB, whatever the input.
+    """
+    counted = heads.mapInArrow(_count_symbols, "token bigint, n bigint").groupBy("token").agg(F.sum("n").alias("n")).toArrow()
+    counts = np.zeros(HEAD * SYMBOLS, np.int64)
+    counts[counted.column("token").to_numpy()] = counted.column("n").to_numpy()
+    shared = heads.sparkSession.sparkContext.broadcast(counts)
+
+    @F.arrow_udf(T.ArrayType(T.LongType()))
+    def rarest(heads: pa.Array) -> pa.Array:
+        tokens = _tokens(heads)
+        order = np.lexsort((tokens, shared.value[tokens]))[:, :PREFIX]
+        offsets = np.arange(len(tokens) + 1, dtype=np.int32) * PREFIX
+        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.take_along_axis(tokens, order, 1).ravel()))
+
+    return rarest
+
+
 def _differing(x: Column, y: Column, bits: int) -> Column:
     """How many of the symbols of ``bits`` bits in two 64-bit numbers differ."""
     fold, step = x.bitwiseXOR(y), bits // 2
@@ -193,7 +236,7 @@ def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str
     return both.where(100 * F.col("_c") >= percent * (F.col("_na") + F.col("_nb") - F.col("_c"))).select("a", "b").distinct()
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 4, percent: int = 80) -> DataFrame:
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 4, percent: int = 80, crowd: int = CROWD) -> DataFrame:
     """``doc_id``, ``n_shingles``, ``component_id``, ``kept`` for each row of ``docs``.
 
     Two documents are linked when ``100 * common >= percent * union`` over their
@@ -224,17 +267,19 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     labels = components(links)
 
     placed = write_shared(_relabel(rows.select("key", "place", "node"), labels), "buckets")
-    split = placed.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("key")
-    left = write_shared(placed.join(write_shared(split, "keys"), "key"), "split")
+    left = _parted(placed, classes, crowd)
     left = write_shared(left.join(classes.select("node", *SIGNED), "node"), "split")
-    x = left.select("key", *[F.col(c).alias(f"x_{c}") for c in ("place", "node", "label", *SIGNED)])
-    y = left.select("key", *[F.col(c).alias(f"y_{c}") for c in ("node", "label", *SIGNED)])
+    sides = ("key", "part"), ("place", "node", "label", "minor", *SIGNED)
+    x, y = (left.select(*sides[0], *[F.col(c).alias(f"{side}_{c}") for c in sides[1]]) for side in "xy")
+    once = (F.col("x_label") < F.col("y_label")) | ~F.col("y_minor")
     close = (
-        x.join(y, "key")
-        .where((F.col("x_label") < F.col("y_label")) & _sizes_fit("x_n", "y_n", percent))
+        x.where("x_minor")
+        .join(y, ["key", "part"])
+        .where((F.col("x_label") != F.col("y_label")) & once & _sizes_fit("x_n", "y_n", percent))
         .where(_first_meeting("x_place", "x_head", "y_head"))
         .where(_may_link("x", "y", percent))
         .select(*_ordered("x_node", "y_node"))
+        .distinct()
         .join(near, ["a", "b"], "left_anti")
     )
     more = confirmed(write_shared(close, "pairs"), classes, docs, id_col, text_col, width, percent)
@@ -257,6 +302,37 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     )
 
 
+def _parted(placed: DataFrame, classes: DataFrame, crowd: int) -> DataFrame:
+    """Rows of the buckets that hold several components: ``key``, ``part``, ``place``, ``node``, ``label``, ``minor``.
+
+    ``minor`` rows are those outside the bucket's largest component; each pair of different
+    components has one.  ``part`` is -1 where a bucket stays whole.  A bucket with
+    ``crowd`` pairs or more comes once for each of the rarest symbols of a row
+    that another row has too, if that leaves less than half the pairs.
+    """
+    sizes = placed.groupBy("key", "label").agg(F.count("*").alias("rows"))
+    sizes = sizes.groupBy("key").agg(F.max(F.struct("rows", "label")).alias("top"), F.sum("rows").alias("rows"), F.count("*").alias("labels"))
+    pairs = (F.col("rows") - F.col("top.rows")) * F.col("rows")
+    split = sizes.where("labels > 1").select("key", F.col("top.label").alias("main"), pairs.alias("pairs"))
+    columns = "key", "place", "node", "label", "minor"
+    left = placed.join(write_shared(split, "keys"), "key").withColumn("minor", F.col("label") != F.col("main"))
+    left = write_shared(left.select(*columns, "pairs"), "split")
+    whole, crowded = left.where(F.col("pairs") < crowd), left.where(F.col("pairs") >= crowd)
+    whole = whole.select(*columns, F.lit(-1).cast("bigint").alias("part"))
+    if crowded.isEmpty():
+        return whole
+    heads = write_shared(classes.select("node", "head").join(crowded.select("node").distinct(), "node"), "heads")
+    rare = write_shared(heads.select("node", rarest_symbols(heads.select("head"))("head").alias("rare")), "symbols")
+    parts = write_shared(crowded.join(rare, "node").select(*columns, "pairs", F.explode("rare").alias("part")), "parts")
+    shared = parts.groupBy("key", "part").agg(F.count("*").alias("rows"), F.sum(F.col("minor").cast("bigint")).alias("minors"), F.first("pairs").alias("pairs"))
+    shared = write_shared(shared.where("rows > 1 AND minors > 0"), "parts")
+    dense = shared.groupBy("key").agg(F.sum(F.col("rows") * F.col("minors")).alias("cost"), F.first("pairs").alias("pairs"))
+    dense = write_shared(dense.where("2 * cost >= pairs").select("key"), "keys")
+    stay = crowded.join(dense, "key", "left_semi").select(*columns, F.lit(-1).cast("bigint").alias("part"))
+    met = shared.join(dense, "key", "left_anti").select("key", "part")
+    return whole.unionByName(stay).unionByName(parts.join(met, ["key", "part"]).select(*columns, "part"))
+
+
 def _relabel(rows: DataFrame, labels: DataFrame) -> DataFrame:
     """``rows`` with the component label of ``node``, its own where it has no link."""
     found = rows.join(labels, "node", "left")

@@ -14,6 +14,7 @@ from hypothesis import strategies as st
 
 import __spark_entry__ as driver
 import corpus_pipeline
+from siltwork.llm import near
 from siltwork.llm import words as W
 from siltwork.llm.decontamination import benchmark_matches
 from siltwork.llm.language import codebook
@@ -101,6 +102,41 @@ def test_near_in_one_large_group(spark):
     assert {r["doc_id"]: r["component_id"] for r in found.collect()} == want
 
 
+@pytest.mark.parametrize("crowd", [1, 1_000_000])
+def test_near_around_a_shared_passage(spark, crowd):
+    """One passage in many texts, copies of one of them, and pairs of near copies among the rest; buckets parted or whole."""
+    draw = np.random.default_rng(5)
+    passage = [f"p{k}" for k in range(40)]
+    rows = []
+    for key in range(0, 240, 2):
+        words = passage + [f"r{draw.integers(0, 5000)}" for _ in range(int(draw.integers(15, 60)))]
+        again = list(words)
+        for at in draw.choice(len(words), size=int(draw.integers(0, 6)), replace=False):
+            again[at] = f"x{key}"
+        rows += [(key, " ".join(words)), (key + 1, " ".join(again))]
+    copies = rows[0][1].split()
+    rows += [(1000 + k, " ".join([*copies[:-1], f"c{k}"])) for k in range(150)]
+    want = components_of(sets_of(dict(rows), 4))
+    assert 30 < len(set(want.values())) < 240
+    found = near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string"), crowd=crowd)
+    assert {r["doc_id"]: r["component_id"] for r in found.collect()} == want
+
+
+def test_rarest_symbols_of_near_heads_meet(spark):
+    """Heads within the distance share one of their rarest symbols, whatever the counts."""
+    draw = np.random.default_rng(8)
+    heads = draw.integers(0, 4, (60, near.HEAD)).astype(np.uint16)
+    for k in range(30):  # half of them stand at the limit from another
+        heads[30 + k] = heads[k]
+        heads[30 + k, draw.choice(near.HEAD, near.DISTANCE, replace=False)] += 100
+    rows = [(k, [int(x) for x in head.view(np.int64)]) for k, head in enumerate(heads)]
+    table = spark.createDataFrame(rows, "id int, head array<bigint>")
+    rare = {r["id"]: set(r["rare"]) for r in table.select("id", near.rarest_symbols(table.select("head"))("head").alias("rare")).collect()}
+    assert all(len(x) == near.PREFIX for x in rare.values())
+    close = [(i, j) for i in range(60) for j in range(i) if (heads[i] != heads[j]).sum() <= near.DISTANCE]
+    assert len(close) >= 30 and all(rare[i] & rare[j] for i, j in close)
+
+
 @tables
 def test_language_on_held_out_rows(spark):
     docs = spark.read.parquet(f"{LEARNED}/documents.parquet").select("doc_id", "lang")
