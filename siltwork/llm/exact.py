@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,7 +12,8 @@ from siltwork.operators.keys import COPY, tell_copies_apart
 from siltwork.shared import shared_path, write_shared
 
 SPACES = " \t\n\x0b\f\r"
-BUCKETS = 64
+BUCKETS, MOST_BUCKETS = 64, 100_000
+BUCKET_ROWS = 2_000_000  # at about 100 bytes
 
 
 def normalised(text: Column) -> Column:
@@ -23,20 +25,40 @@ class DigestIndex:
     """Digests seen so far, as a table bucketed and sorted by digest.
 
     The files below ``path`` outlast the session; opening the path again
-    registers them.  ``absorb`` holds a batch against the index by a sort-merge
+    registers them, with the number of buckets noted there.  A new index gets
+    ``buckets``, or else one for each ``BUCKET_ROWS`` digests of the first batch
+    and ``BUCKETS`` at least.  ``absorb`` holds a batch against the index by a sort-merge
     anti-join on the buckets and appends what is new.  A batch that is replayed
     after its append gets the same answers.
     """
 
-    def __init__(self, spark: SparkSession, path: str | None = None, buckets: int = BUCKETS):
+    def __init__(self, spark: SparkSession, path: str | None = None, buckets: int | None = None):
         self.spark = spark
         self.path = path or shared_path(spark, "digest-index")
         self.buckets = buckets
         self.table = f"digests_{hashlib.md5(self.path.encode()).hexdigest()}"
-        where = self.path.replace("'", "\\'")
-        spark.sql(
+
+    def _noted_buckets(self) -> int | None:
+        try:
+            noted = self.spark.read.schema("buckets int").parquet(f"{self.path}/layout").first()
+        except AnalysisException as missing:
+            if missing.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return None
+        return noted and noted["buckets"]
+
+    def open(self, digests: int = 0) -> None:
+        """Register the table; where there is none yet, make one for about that many digests."""
+        noted = self._noted_buckets()
+        if noted is None:
+            noted = self.buckets or min(max(BUCKETS, -(-digests // BUCKET_ROWS)), MOST_BUCKETS)
+            layout = self.spark.range(1, numPartitions=1).select(F.lit(noted).alias("buckets"))
+            layout.write.mode("overwrite").parquet(f"{self.path}/layout")
+        self.buckets = noted
+        where = f"{self.path}/digests".replace("'", "\\'")
+        self.spark.sql(
             f"CREATE TABLE IF NOT EXISTS {self.table} (digest STRING, keep_id BIGINT, points BIGINT) USING parquet "
-            f"CLUSTERED BY (digest) SORTED BY (digest) INTO {buckets} BUCKETS LOCATION '{where}'"
+            f"CLUSTERED BY (digest) SORTED BY (digest) INTO {self.buckets} BUCKETS LOCATION '{where}'"
         )
 
     def read(self) -> DataFrame:
@@ -63,9 +85,12 @@ class DigestIndex:
         groups = rows.groupBy("digest").agg(best.alias("best"), F.count("*").alias("group_size"))
         groups = groups.select("digest", "group_size", F.col("best.doc_id").alias("keep_id"), (-F.col("best.points")).alias("points"))
         groups = write_shared(groups, "groups")
+        self.open(groups.count())
         new = groups.select("digest", "keep_id", "points").join(self.read().hint("merge").select("digest"), "digest", "left_anti")
         new = write_shared(new, "new")
-        new.repartition(self.buckets, "digest").sortWithinPartitions("digest").write.insertInto(self.table)
+        # By the bucket itself, so a bucket gets one file however many tasks write; the writer sorts.
+        bucket = F.pmod(F.hash("digest"), F.lit(self.buckets))
+        new.repartitionByRange(self.buckets, bucket).write.insertInto(self.table)
         stays = groups.select("digest", "group_size").join(self.read().hint("merge"), "digest")
         stays = write_shared(stays.withColumnRenamed("points", "_most"), "stays")
         kept = (F.col(COPY) == 1) & F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("points") == F.col("_most"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -86,11 +87,27 @@ def test_exact_stays_over_batches(spark, tmp_path):
     again = DigestIndex(spark, str(tmp_path / "index"), buckets=4)
     later = spark.createDataFrame([(0, "a  b   "), (9, "d")], "doc_id bigint, text string")
     assert by_id(again.absorb(later), "keep_id", "kept") == [(0, 1, False), (9, 9, True)]
-    assert again.read().count() == 3
+    assert again.read().count() == 3 and again.buckets == 4
     plan = spark.table(again.table).groupBy("digest").count()._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan  # the buckets serve
 
 
+def test_exact_index_in_its_buckets(spark, tmp_path):
+    """A file for each bucket and batch, in order of digest, whatever the number of tasks."""
+    rows = spark.range(2_000, numPartitions=16).selectExpr("id AS doc_id", "concat('text ', id) AS text")
+    index = DigestIndex(spark, str(tmp_path / "it's an index"), buckets=8)
+    index.absorb(rows)
+    files = sorted((tmp_path / "it's an index" / "digests").glob("part-*.parquet"))
+    assert len(files) == 8
+    for file in files:
+        digests = pq.read_table(file).column("digest").to_pylist()
+        assert digests == sorted(digests) and digests
+    spark.sql(f"DROP TABLE {index.table}")  # as in a new session
+    again = DigestIndex(spark, index.path)
+    assert again.absorb(rows.where("doc_id < 5")).where("kept AND doc_id = keep_id").count() == 5
+    assert again.buckets == 8 and again.read().count() == 2_000
+
+
 def test_drop_copies(odd):
     kept = drop_copies(odd, DigestIndex(odd.sparkSession))
     assert kept.columns == odd.columns
