@@ -80,7 +80,8 @@ class DigestIndex:
             F.sha2(normalised(F.col(text_col)), 256).alias("digest"),
             F.char_length(text).cast("bigint").alias("points"),
         )
-        rows = write_shared(tell_copies_apart(narrow), "digests")
+        # Written first: telling copies apart reads its input twice, and texts are to be read and hashed once.
+        rows = write_shared(tell_copies_apart(write_shared(narrow, "hashed")), "digests")
         best = F.min(F.struct((-F.col("points")).alias("points"), F.col("doc_id").isNull().alias("no_id"), "doc_id"))
         groups = rows.groupBy("digest").agg(best.alias("best"), F.count("*").alias("group_size"))
         groups = groups.select("digest", "group_size", F.col("best.doc_id").alias("keep_id"), (-F.col("best.points")).alias("points"))
