@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siltwork.llm import words as W
@@ -161,6 +161,37 @@ def _matches(width: int, literals: int, index: np.ndarray | None):
     return matches
 
 
+def _runs(offset: Column, words: Column) -> Column:
+    """Runs a match can belong to, by how far its place in the text is from that in the item.
+
+    The text as a whole, the same offset, and offsets within a quarter, half and
+    all of the item's words, in buckets that overlap by half: words put in or left out move the
+    offset a little, the next variant on a page by the item's length.
+    """
+    runs = [F.struct(F.lit(0).alias("scale"), F.lit(0).cast("bigint").alias("at")), F.struct(F.lit(1).alias("scale"), offset.cast("bigint").alias("at"))]
+    for k, part in enumerate((4, 2, 1)):
+        size = F.ceil(words / part)
+        for shifted, moved in enumerate((offset, offset + F.floor(size / 2))):
+            runs.append(F.struct(F.lit(2 + 2 * k + shifted).alias("scale"), F.floor(moved / size).alias("at")))
+    return F.array(*runs)
+
+
+def _agreement(both: DataFrame, keys: list[str]) -> DataFrame:
+    """For each key the distinct windows met, slots in them, those with the main value of each item value, and those with equal values."""
+    both = both.select(*keys, "hash", F.explode_outer(F.arrays_zip("item_slots", "slots")).alias("s"))
+    # One row for each item value: how many windows back each value of the document.
+    pairs = both.groupBy(*keys, F.col("s.item_slots").alias("own"), F.col("s.slots").alias("theirs")).agg(
+        F.count("*").alias("n"), F.collect_set("hash").alias("hashes")
+    )
+    values = pairs.where("own IS NOT NULL").groupBy(*keys, "own").agg(F.max("n").alias("main"), F.sum("n").alias("n"), F.max(F.when(F.col("own") == F.col("theirs"), F.col("n"))).alias("same"))
+    agree = values.groupBy(*keys).agg(
+        F.sum("main").alias("main"), F.sum("n").alias("n"), F.sum(F.coalesce("same", F.lit(0))).alias("same")
+    )
+    windows = pairs.groupBy(*keys).agg(F.size(F.array_distinct(F.flatten(F.collect_list("hashes")))).alias("windows"))
+    out = windows.alias("w").join(agree.alias("a"), [F.col(f"w.{k}").eqNullSafe(F.col(f"a.{k}")) for k in keys], "left")
+    return out.select("w.*", "main", "n", "same")
+
+
 def benchmark_matches(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -179,7 +210,9 @@ def benchmark_matches(
     ``doc_id``, ``item_id``, ``windows`` (distinct template windows of the item found),
     ``item_windows``, ``coverage``, ``consistency``, ``verbatim`` (all slot values equal).
     A pair counts from ``coverage`` of the item's windows, or ``enough`` of them, and
-    ``consistent`` of its slots.  A window with fewer than ``literals`` literal words matches only
+    ``consistent`` of its slots, over the document or within one run of it (:func:`_runs`), so that an
+    item is found beside variants of it; the figures are those of the document if it agrees as a
+    whole, or else of the run with the most windows.  A window with fewer than ``literals`` literal words matches only
     with the values that stand there, so tables of numbers do not match each other.
 
     Benchmark windows up to ``index_windows`` go to the executors as one sorted
@@ -199,37 +232,35 @@ def benchmark_matches(
     if items.select("hash").distinct().count() <= index_windows:
         known = items.select("hash").distinct().toArrow().column("hash").to_numpy().view(np.uint64)
         index = spark.sparkContext.broadcast(np.sort(known))
-    found = docs.select(F.col(id_col).alias("doc_id"), F.explode(_matches(width, literals, index)(text_col)).alias("w"))
-    found = found.select("doc_id", F.col("w.hash").alias("hash"), F.col("w.slots").alias("slots"))
-    # A passage that a document repeats, with the same slot values, counts once.
+    found = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("text_key"), F.explode(_matches(width, literals, index)(text_col)).alias("w"))
+    found = found.select("doc_id", "text_key", F.col("w.place").alias("place"), F.col("w.hash").alias("hash"), F.col("w.slots").alias("slots"))
     found = write_shared(found.distinct(), "windows")
-    totals = items.groupBy("item_id").agg(F.countDistinct("hash").alias("item_windows"))
-    both = found.join(items, "hash")
-    both = both.select("doc_id", "item_id", "hash", F.explode_outer(F.arrays_zip("item_slots", "slots")).alias("s"))
-    # One row for each item value: how many windows back each value of the document.
-    pairs = both.groupBy("doc_id", "item_id", F.col("s.item_slots").alias("own"), F.col("s.slots").alias("theirs")).agg(
-        F.count("*").alias("n"), F.collect_set("hash").alias("hashes")
-    )
-    values = pairs.where("own IS NOT NULL").groupBy("doc_id", "item_id", "own").agg(F.max("n").alias("main"), F.sum("n").alias("n"), F.max(F.when(F.col("own") == F.col("theirs"), F.col("n"))).alias("same"))
-    agree = values.groupBy("doc_id", "item_id").agg(
-        F.sum("main").alias("main"), F.sum("n").alias("n"), F.sum(F.coalesce("same", F.lit(0))).alias("same")
-    )
-    windows = pairs.groupBy("doc_id", "item_id").agg(F.size(F.array_distinct(F.flatten(F.collect_list("hashes")))).alias("windows"))
-    on = lambda other: [F.col("p.doc_id").eqNullSafe(F.col(f"{other}.doc_id")), F.col("p.item_id").eqNullSafe(F.col(f"{other}.item_id"))]
-    out = windows.alias("p").join(agree.alias("a"), on("a"), "left")
-    out = out.join(totals.alias("t"), F.col("p.item_id").eqNullSafe(F.col("t.item_id")))
-    return (
-        out.select(
-            F.col("p.doc_id").alias("doc_id"),
-            F.col("p.item_id").alias("item_id"),
+    totals = items.groupBy("item_id").agg(F.countDistinct("hash").alias("item_windows"), (F.max("item_place") + width).alias("words"))
+
+    def judged(both: DataFrame, keys: list[str]) -> DataFrame:
+        out = _agreement(both, keys).alias("p").join(totals.alias("t"), F.col("p.item_id").eqNullSafe(F.col("t.item_id")))
+        out = out.select(
+            *[F.col(f"p.{k}").alias(k) for k in keys],
             F.col("windows").cast("bigint").alias("windows"),
             "item_windows",
             (F.col("windows") / F.col("item_windows")).alias("coverage"),
             F.coalesce(F.col("main") / F.col("n"), F.lit(1.0)).alias("consistency"),
             F.coalesce(F.col("same") == F.col("n"), F.lit(True)).alias("verbatim"),
         )
-        .where(((F.col("coverage") >= coverage) | (F.col("windows") >= enough)) & (F.col("consistency") >= consistent))
-    )
+        return out.where((F.col("coverage") >= coverage) | (F.col("windows") >= enough))
+
+    # A passage that a document repeats, with the same slot values, counts once.
+    whole = write_shared(judged(found.select("doc_id", "hash", "slots").distinct().join(items, "hash"), ["doc_id", "item_id"]), "pairs")
+    agrees = F.col("consistency") >= consistent
+    # What does not agree over the document can still hold the item at one place, beside variants of it.
+    unsure = whole.where(~agrees).select(F.col("doc_id").alias("_doc"), F.col("item_id").alias("_item"))
+    of_doc, of_item = F.col("doc_id").eqNullSafe(F.col("_doc")), F.col("item_id").eqNullSafe(F.col("_item"))
+    both = found.join(unsure.select("_doc").distinct(), of_doc, "left_semi").join(items, "hash").join(unsure, of_doc & of_item, "left_semi")
+    both = both.alias("p").join(totals.alias("t"), F.col("p.item_id").eqNullSafe(F.col("t.item_id"))).select("p.*", "t.words")
+    both = both.withColumn("run", F.explode(_runs(F.col("place") - F.col("item_place"), F.col("words"))))
+    runs = judged(both, ["doc_id", "item_id", "text_key", "run"]).where(agrees)
+    best = runs.groupBy("doc_id", "item_id").agg(F.max(F.struct("windows", "consistency", "verbatim", "item_windows", "coverage")).alias("best"))
+    return whole.where(agrees).unionByName(best.select("doc_id", "item_id", "best.*"))
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

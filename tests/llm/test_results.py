@@ -16,7 +16,7 @@ import __spark_entry__ as driver
 import corpus_pipeline
 from siltwork.llm import near
 from siltwork.llm import words as W
-from siltwork.llm.decontamination import benchmark_matches
+from siltwork.llm.decontamination import benchmark_matches, drop_contaminated
 from siltwork.llm.language import codebook
 from siltwork.llm.near import near_duplicates
 from siltwork.llm.packing import CAPACITY, best_fit
@@ -194,6 +194,26 @@ def test_benchmark_in_other_words(spark):
     assert sorted(joined.collect()) == sorted(found.collect())
 
 
+def test_benchmark_beside_variants(spark):
+    """Variants of an item in one text: each is consistent in itself, whatever the others say."""
+    item = "A train leaves with Anna and 30 boxes at 40 km per hour while Anna waits 30 minutes for the next one"
+    other = lambda name, a, b: item.replace("Anna", name).replace("30", a).replace("40", b)
+    mixed = item.replace("Anna", "Otto", 1).replace("Anna", "Rita").replace("30", "75", 1)
+    texts = [
+        (1, "\n".join([item, other("Otto", "31", "41"), other("Rita", "32", "42")])),
+        (2, "1. " + other("Otto", "31", "41") + ".\n2. " + other("Rita", "32", "42").replace("per hour", "in every single hour") + ".\n"),
+        (3, "\n".join([mixed, mixed.replace("Otto", "Eva").replace("Rita", "Nils")])),  # two values for one slot in each
+        (4, other("Otto", "31", "41")), (4, other("Rita", "32", "42")), (None, other("Eva", "31", "41")), (None, other("Otto", "32", "42")),
+    ]
+    docs, items = spark.createDataFrame(texts, "doc_id bigint, text string"), spark.createDataFrame([(7, item)], "item_id bigint, text string")
+    found = {r["doc_id"]: r for r in benchmark_matches(docs, items).collect()}
+    assert set(found) == {1, 2, 4, None} and found[1]["verbatim"] and not found[2]["verbatim"]
+    assert all(r["consistency"] == 1.0 and r["coverage"] == 1.0 for k, r in found.items() if k != 2)
+    joined = benchmark_matches(docs, items, index_windows=0)
+    assert {r["doc_id"]: r for r in joined.collect()} == found
+    assert drop_contaminated(docs, items).select("doc_id").collect() == [(3,)]
+
+
 @tables
 def test_packing_keeps_its_rules(spark):
     docs = {r["doc_id"]: r for r in spark.read.parquet(f"{LEARNED}/documents.parquet").collect()}
