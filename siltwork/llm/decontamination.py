@@ -96,58 +96,65 @@ def templates(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     return kind, actual, first
 
 
-def _windows(kind: np.ndarray, actual: np.ndarray, first: np.ndarray, width: int, literals: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Row, place and hash of each window; with few literal words, what stands there is hashed too.
+def _windows(kind: np.ndarray, actual: np.ndarray, first: np.ndarray, size: np.ndarray | int, literals: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Row, place, size and hash of each window of ``size`` words, one number or one for each row.
 
-    Rows with fewer words have one window of all of them.
+    With few literal words, what stands there is hashed too.
     """
     slot = (kind == NUMBER) | (kind == NAME) | (kind == UNIT)
     plain = np.concatenate([[0], np.cumsum(~slot)])
     ends = np.arange(len(kind))
     row = np.repeat(np.arange(len(first) - 1), np.diff(first))
     limit = first[row + 1]
-    size = np.minimum(width, limit - first[row])
+    size = np.broadcast_to(size, len(first) - 1)[row]
     whole = ends + size <= limit
     poor = plain[np.minimum(ends + size, len(kind))] - plain[ends] < np.minimum(literals, size)
     made = [size.astype(np.uint64), size.astype(np.uint64) + W.STEP]
-    for k in range(width):
+    for k in range(int(size.max(initial=0))):
         inside = k < size
         at = np.minimum(ends + k, len(kind) - 1)
         for j, source in enumerate((kind, actual)):
             made[j] = np.where(inside, made[j] * W.STEP + source[at], made[j])
     out = W.mix(np.where(poor, made[1], made[0]))
-    return row[whole], (ends - first[row])[whole], out[whole]
+    return row[whole], (ends - first[row])[whole], size[whole], out[whole]
 
 
-def _matches(width: int, literals: int, index: np.ndarray | None):
-    """Column function: text to its windows (place, hash, slot values), only those in ``index`` if there is one."""
-    kind_ = "array<struct<place:int,hash:bigint,slots:array<bigint>>>"
+def _matches(width: int, literals: int, index: np.ndarray | None, sizes: list[int] | None = None):
+    """Column function: text to its windows (place, size, hash, slot values), only those in ``index`` if there is one.
+
+    Windows have each of ``sizes``; without sizes they have ``width`` words, or all where a text has fewer.
+    """
+    kind_ = "array<struct<place:int,size:int,hash:bigint,slots:array<bigint>>>"
 
     @F.arrow_udf(kind_)
     def matches(texts: pa.Array) -> pa.Array:
         known = index.value if index is not None else None
-        bounds, places, hashes, lengths, values, rows_before = [np.zeros(1, np.int64)], [], [], [np.zeros(1, np.int64)], [], 0
+        bounds, places, wides, hashes, lengths, values = [np.zeros(1, np.int64)], [], [], [], [np.zeros(1, np.int64)], []
         for _, raw, offsets in W.text_chunks(texts):
             kind, actual, first = templates(raw, offsets)
-            if len(kind):
-                row, place, made = _windows(kind, actual, first, width, literals)
-                if known is not None and len(known):
-                    hit = known[np.minimum(np.searchsorted(known, made), len(known) - 1)] == made
-                elif known is not None:
-                    hit = np.zeros(len(made), bool)
-                else:
-                    hit = np.ones(len(made), bool)
-                row, place, made = row[hit], place[hit], made[hit]
+            if len(kind) and (sizes is None or sizes):
+                parts = []
+                for size in sizes if sizes is not None else [np.minimum(width, np.diff(first))]:
+                    part = _windows(kind, actual, first, size, literals)
+                    if known is not None and len(known):
+                        hit = known[np.minimum(np.searchsorted(known, part[3]), len(known) - 1)] == part[3]
+                        part = tuple(x[hit] for x in part)
+                    parts.append(part)
+                row, place, wide, made = (np.concatenate(x) for x in zip(*parts))
+                if len(parts) > 1:
+                    order = np.argsort(row, kind="stable")
+                    row, place, wide, made = row[order], place[order], wide[order], made[order]
                 slot = (kind == NUMBER) | (kind == NAME) | (kind == UNIT)
                 slots_at = np.flatnonzero(slot)
                 start = first[row] + place
-                stop = np.minimum(start + width, first[row + 1])
+                stop = start + wide
                 low, high = np.searchsorted(slots_at, start), np.searchsorted(slots_at, stop)
                 n = high - low
                 take = np.repeat(low - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum()) if len(n) else np.zeros(0, np.int64)
                 values.append(actual[slots_at[take.astype(np.int64)]].view(np.int64))
                 lengths.append(n)
                 places.append(place.astype(np.int32))
+                wides.append(wide.astype(np.int32))
                 hashes.append(made.view(np.int64))
                 counts = np.bincount(row, minlength=len(offsets) - 1)
             else:
@@ -155,7 +162,7 @@ def _matches(width: int, literals: int, index: np.ndarray | None):
             bounds.append(counts)
         join = lambda parts, kind: np.concatenate(parts) if parts else np.zeros(0, kind)
         slots = pa.ListArray.from_arrays(pa.array(np.cumsum(np.concatenate(lengths)).astype(np.int32)), pa.array(join(values, np.int64)))
-        inner = pa.StructArray.from_arrays([pa.array(join(places, np.int32)), pa.array(join(hashes, np.int64)), slots], ["place", "hash", "slots"])
+        inner = pa.StructArray.from_arrays([pa.array(join(places, np.int32)), pa.array(join(wides, np.int32)), pa.array(join(hashes, np.int64)), slots], ["place", "size", "hash", "slots"])
         return pa.ListArray.from_arrays(pa.array(np.cumsum(np.concatenate(bounds)).astype(np.int32)), inner)
 
     return matches
@@ -220,22 +227,24 @@ def benchmark_matches(
     joined by hash.  Windows are 64-bit hashes; slots are compared by value.
 
     Null and empty texts and items have no windows and no pair; items with fewer words
-    than a window are one window.  Items with equal texts are each reported.  Rows
-    of one id count as one document, so repeated rows give one pair; null ids do, too.
-    Extra columns are not read.
+    than a window are one window, and texts have windows of those sizes too, so that a short
+    item is found wherever it stands: one of a single word in each text with that word.
+    Items with equal texts are each reported.  Rows of one id count as one document, so
+    repeated rows give one pair; null ids do, too.  Extra columns are not read.
     """
     spark = docs.sparkSession
     items = benchmark.select(F.col(item_col).alias("item_id"), F.explode(_matches(width, literals, None)("text")).alias("w"))
-    items = items.select("item_id", F.col("w.place").alias("item_place"), F.col("w.hash").alias("hash"), F.col("w.slots").alias("item_slots"))
+    items = items.select("item_id", F.col("w.place").alias("item_place"), F.col("w.size").alias("size"), F.col("w.hash").alias("hash"), F.col("w.slots").alias("item_slots"))
     items = write_shared(items, "items")
+    sizes = sorted(r["size"] for r in items.select("size").distinct().collect())  # the width, and those of shorter items
     index = None
     if items.select("hash").distinct().count() <= index_windows:
         known = items.select("hash").distinct().toArrow().column("hash").to_numpy().view(np.uint64)
         index = spark.sparkContext.broadcast(np.sort(known))
-    found = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("text_key"), F.explode(_matches(width, literals, index)(text_col)).alias("w"))
+    found = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("text_key"), F.explode(_matches(width, literals, index, sizes)(text_col)).alias("w"))
     found = found.select("doc_id", "text_key", F.col("w.place").alias("place"), F.col("w.hash").alias("hash"), F.col("w.slots").alias("slots"))
     found = write_shared(found.distinct(), "windows")
-    totals = items.groupBy("item_id").agg(F.countDistinct("hash").alias("item_windows"), (F.max("item_place") + width).alias("words"))
+    totals = items.groupBy("item_id").agg(F.countDistinct("hash").alias("item_windows"), F.max(F.col("item_place") + F.col("size")).alias("words"))
 
     def judged(both: DataFrame, keys: list[str]) -> DataFrame:
         out = _agreement(both, keys).alias("p").join(totals.alias("t"), F.col("p.item_id").eqNullSafe(F.col("t.item_id")))

@@ -214,6 +214,21 @@ def test_benchmark_beside_variants(spark):
     assert drop_contaminated(docs, items).select("doc_id").collect() == [(3,)]
 
 
+def test_short_benchmark_items(spark):
+    """Items of fewer words than a window stand anywhere in a text; with few literal words their values count."""
+    items = [(1, "Who wrote the old red book"), (2, "Add 17 and 25"), (3, "yes"), (4, None), (5, "one two three four five six seven eight nine ten")]
+    texts = [
+        (1, "Here is one more. Who wrote the old red book? Nobody knows that, they say."), (2, "who wrote the old red book"), (3, "Add 17 and 25, then go on"),
+        (4, "then add 18 and 25, or so"), (5, "who wrote the new red book of all books"), (6, "No or yes"), (7, None), (8, ""),
+        (9, "one two three four five six seven eight nine ten, yes"),
+    ]
+    docs, benchmark = spark.createDataFrame(texts, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string")
+    want = {(1, 1), (2, 1), (3, 2), (6, 3), (9, 3), (9, 5)}
+    for windows in (1000, 0):
+        found = benchmark_matches(docs, benchmark, index_windows=windows).collect()
+        assert {(r["doc_id"], r["item_id"]) for r in found} == want and all(r["coverage"] == 1.0 for r in found)
+
+
 @tables
 def test_packing_keeps_its_rules(spark):
     docs = {r["doc_id"]: r for r in spark.read.parquet(f"{LEARNED}/documents.parquet").collect()}
