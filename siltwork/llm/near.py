@@ -5,7 +5,7 @@ a sample of one hash in each of ``BINS`` ranges, cut to 8 bits.  The head is spl
 differ in at most ``2 * CHUNKS - 1`` symbols have a chunk with at most one
 differing symbol (pigeonhole), so each chunk gives one key for each symbol left
 out, and every such pair meets under a key.  Sets with a Jaccard similarity of
-0.8 differ in 8 of 40 symbols on average and in 20 or more once in 30,000 pairs.
+0.8 differ in 8 of 40 symbols on average and in 20 or more once in 46,000 pairs.
 The sample rules out pairs that are clearly less similar: its share of differing
 ranges is taken without replacement, and a pair at the threshold exceeds
 ``DEVIATIONS`` standard deviations of it about once in 100,000 pairs.
