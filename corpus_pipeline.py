@@ -8,6 +8,7 @@ stage says; of rows repeated whole, exact dedup keeps one.  An empty table gives
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from siltwork.llm.decontamination import drop_contaminated
 from siltwork.llm.exact import DigestIndex, drop_copies
@@ -33,11 +34,17 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The smallest id of each group of near-duplicates over five-word shingles stays."""
+    """The row with the smallest id of each group of near-duplicates over five-word shingles stays.
+
+    Rows are decided by a written number, so rows of one id and rows without an id are told apart.
+    """
     ship(spark)
-    gone = near_duplicates(docs, width=STAGE_WORDS).where("NOT kept").selectExpr("doc_id AS __sw_id")
-    gone = write_shared(gone, "decisions")
-    return docs.join(gone, docs["doc_id"] == gone["__sw_id"], "left_anti")
+    docs = write_shared(docs.withColumn("__sw_row", F.monotonically_increasing_id()), "numbered")
+    groups = near_duplicates(docs, id_col="__sw_row", width=STAGE_WORDS).selectExpr("doc_id AS __sw_row", "component_id AS __sw_group")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "__sw_row"))["__sw_row"].alias("__sw_row")
+    kept = docs.select("doc_id", "__sw_row").join(groups, "__sw_row").groupBy("__sw_group").agg(first)
+    kept = write_shared(kept.select("__sw_row"), "decisions")
+    return docs.join(kept, "__sw_row", "left_semi").drop("__sw_row")
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -213,3 +213,15 @@ def test_stages_on_odd_rows(odd, spark, tmp_path):
             if name != "best-fit packing":
                 assert found.columns == odd.columns, name
             found.collect()
+
+
+def test_near_stage_decides_by_row(spark):
+    """Rows of one id with different texts, rows of one group with the same id, and near copies without an id."""
+    base, other, third = (" ".join(f"{c}{k}" for k in range(60)) for c in "abc")
+    rows = [(1, base + " x"), (2, base), (2, other), (5, third), (5, third + " y"), (None, base + " z"), (None, None), (7, ""), (None, "alone in the table")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = dict(corpus_pipeline.STAGES)["MinHash near-dedup"](spark, docs, "")
+    assert found.columns == docs.columns
+    kept = [tuple(r) for r in found.collect()]
+    assert sum(key == 5 for key, _ in kept) == 1
+    assert sorted((r for r in kept if r[0] != 5), key=str) == sorted([(1, base + " x"), (2, other), (None, None), (7, ""), (None, "alone in the table")], key=str)
