@@ -6,7 +6,7 @@ import re
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.classification import RandomForestClassifier
+from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from siltwork.llm import words as W
 from siltwork.llm.folds import bounded, held_out
-from siltwork.shared import write_shared
+from siltwork.shared import shared_path, write_shared
 
 SAMPLE_FINDINGS = 20_000
 TREES, DEPTH, SEED = 40, 6, 7
@@ -214,7 +214,11 @@ def secret_scan(
     assemble = VectorAssembler(inputCols=FEATURES, outputCol="features")
     if sample.select("label").distinct().count() == 2:
         forest = RandomForestClassifier(labelCol="label", featuresCol="features", numTrees=TREES, maxDepth=DEPTH, seed=SEED)
-        model = forest.fit(assemble.transform(sample))
+        # Read back from the shared folder: a freshly fitted model holds its training summary and by it the session,
+        # which cannot be sent to executors once the session has been observed.
+        path = shared_path(docs.sparkSession, "forest")
+        forest.fit(assemble.transform(sample)).save(path)
+        model = RandomForestClassificationModel.load(path)
         out = model.transform(assemble.transform(found))
         shown = vector_to_array("probability")[1]
     else:

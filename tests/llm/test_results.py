@@ -23,6 +23,7 @@ from siltwork.llm.packing import CAPACITY, best_fit
 from siltwork.llm.queries import LLM_ORACLES, LLM_QUERIES
 from siltwork.llm.shards import jump
 from siltwork.llm.toxicity import segments
+from siltwork.sinks.files import counted
 from tests.oracle import connect, difference
 
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
@@ -153,6 +154,14 @@ def test_toxicity_on_held_out_rows(spark):
     assert sum(r["predicted"] for r in rows if r["toxic"] == 0) <= 0.03 * len(good)
 
 
+@tables
+def test_secrets_after_an_observed_count(spark):
+    frame, seen = counted(spark.range(3))
+    assert frame.count() == 3 and seen.get == {"amount": 3}
+    scored = LLM_QUERIES["op10_secret_scan"](spark, LEARNED).select("score").collect()
+    assert len({r["score"] for r in scored}) > 2  # a forest was fitted and sent to tasks
+
+
 @tables
 def test_secrets_on_held_out_rows(spark):
     texts = texts_of(spark, LEARNED)
