@@ -6,9 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from siltwork.llm.collocations import collocations
 from siltwork.llm.decontamination import benchmark_matches
 from siltwork.llm.exact import DigestIndex
 from siltwork.llm.language import identify
+from siltwork.llm.lexical import ranked_search
 from siltwork.llm.licences import TEMPLATES, THRESHOLD, bigrams_of, licence_scan
 from siltwork.llm.lines import drop_repeated_lines
 from siltwork.llm.near import near_duplicates
@@ -16,6 +18,7 @@ from siltwork.llm.packing import pack_documents
 from siltwork.llm.secrets import secret_scan
 from siltwork.llm.shards import shard_rows
 from siltwork.llm.shipping import ship
+from siltwork.llm.topk import top_k
 from siltwork.llm.toxicity import toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -187,3 +190,87 @@ def op8_template_decontamination(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op10_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return secret_scan(table(spark, folder, "documents"))
+
+
+MAX_SCORE = """
+WITH v AS (
+    SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score
+    FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id
+)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+FROM scored QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 5
+"""
+
+
+@query(MAX_SCORE)
+def op11_max_score_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    return top_k(table(spark, folder, "embeddings"))
+
+
+COLLOCATIONS = r"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang,
+        unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents
+),
+worded AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+grams AS (
+    SELECT lang, k, unnest(list_transform(range(1, CAST(len(w) AS BIGINT) - k + 2), lambda i: array_to_string(w[i : i + k - 1], ' '))) AS phrase
+    FROM worded, (VALUES (1), (2), (3)) widths(k)
+),
+f AS (SELECT lang, k, phrase, count(*) AS a FROM grams GROUP BY ALL),
+totals AS (SELECT lang, CAST(sum(a) AS BIGINT) AS n FROM f WHERE k = 1 GROUP BY lang),
+cuts AS (
+    SELECT lang, c.phrase, c.k AS width, a, cut, array_to_string(string_split(c.phrase, ' ')[1 : cut], ' ') AS head, array_to_string(string_split(c.phrase, ' ')[cut + 1 :], ' ') AS rest
+    FROM f c, (VALUES (1), (2)) places(cut) WHERE c.k > 1 AND a >= 10 AND cut < c.k
+),
+scored AS (
+    SELECT c.lang, c.phrase, width, c.a, h.a AS l, t.a AS r, CAST((1000000::HUGEINT * c.a * c.a) // (h.a::HUGEINT * t.a) AS BIGINT) AS score
+    FROM cuts c JOIN f h ON h.lang = c.lang AND h.phrase = c.head JOIN f t ON t.lang = c.lang AND t.phrase = c.rest
+    QUALIFY row_number() OVER (PARTITION BY c.lang, c.phrase ORDER BY score, cut) = 1
+),
+longer AS (
+    SELECT lang, inner_phrase, max(a) AS a FROM (
+        SELECT lang, a, unnest([array_to_string(string_split(phrase, ' ')[1:2], ' '), array_to_string(string_split(phrase, ' ')[2:3], ' ')]) AS inner_phrase FROM scored WHERE width = 3
+    ) GROUP BY ALL
+),
+kept AS (SELECT s.* FROM scored s LEFT JOIN longer g ON width = 2 AND g.lang = s.lang AND inner_phrase = phrase WHERE g.a IS NULL OR 100 * g.a < 50 * s.a)
+SELECT lang, row_number() OVER o AS rank, phrase, a, l, r, n, score FROM kept JOIN totals USING (lang)
+WINDOW o AS (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) QUALIFY row_number() OVER o <= 2000
+"""
+
+
+@query(COLLOCATIONS)
+def op12_phrase_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations(table(spark, folder, "documents"))
+
+
+RANKED = r"""
+WITH held AS (
+    SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM documents
+),
+tf AS (SELECT doc_id, term, count(*) AS tf FROM held GROUP BY ALL),
+lengths AS (SELECT doc_id, CAST(sum(tf) AS BIGINT) AS n FROM tf GROUP BY doc_id),
+size AS (SELECT count(*) AS documents, CAST(sum(n) AS BIGINT) AS terms FROM lengths),
+weights AS (SELECT term, CAST(floor(1000 * ln((2 * documents + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM tf, size GROUP BY term, documents),
+asked AS (
+    SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM benchmark
+),
+scored AS (
+    SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * documents) // terms)))) AS BIGINT) AS score
+    FROM asked JOIN tf USING (term) JOIN weights USING (term) JOIN lengths USING (doc_id), size GROUP BY item_id, doc_id
+)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score FROM scored WHERE score > 0
+QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) <= 10
+"""
+
+
+@query(RANKED)
+def op13_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
+    return ranked_search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
