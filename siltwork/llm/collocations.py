@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import reduce
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -65,17 +66,23 @@ def _pair_hash(hashes: np.ndarray) -> np.ndarray:
     return W.mix(hashes[:-1] * W.STEP + hashes[1:])
 
 
-def _grams(width: int, heads, tails):
-    """Row function: phrases of ``width`` words with their counts in a chunk, by language.
+def _lang_hashes(names: pa.Array) -> np.ndarray:
+    """A 64-bit number for each language name."""
+    return np.array([int.from_bytes(blake2b(x.encode(), digest_size=8).digest(), "big") for x in names.to_pylist()], np.uint64)
 
-    ``heads`` and ``tails`` are broadcast filters.  Of pairs both words must be in ``heads``; of triples the
-    first two words must be in ``heads`` or the last two in ``tails``.  ``h`` is the hash of a word or pair.
+
+def _grams(width: int, heads, tails, often):
+    """Row function: counts of phrases of ``width`` words in a chunk, by language.
+
+    ``heads``, ``tails`` and ``often`` are broadcast filters.  Of pairs both words must be in ``heads``; of triples
+    the first two words must be in ``heads`` or the last two in ``tails``.  Without ``often`` a pair or triple comes
+    out as the hash of language and phrase, with it as strings, where that hash is in it.  ``h`` is the hash of a word or pair.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             named = pc.fill_null(batch.column("lang"), UNKNOWN).dictionary_encode()
-            langs = named.indices.to_numpy()
+            langs, marks = named.indices.to_numpy(), _lang_hashes(named.dictionary)
             for at, raw, offsets in W.text_chunks(batch.column("_text")):
                 starts, ends, first = W.runs(WORD[raw], offsets)
                 size = len(starts) - width + 1
@@ -84,7 +91,7 @@ def _grams(width: int, heads, tails):
                 low = W.LOWER[raw]
                 hashes = hashes_of(low, starts, ends)
                 row = np.repeat(np.arange(len(offsets) - 1), np.diff(first))
-                breaks = np.concatenate([[0], np.cumsum(BREAK[raw])])[starts]  # piece ends before each word
+                breaks = np.concatenate([[0], np.cumsum(BREAK[raw], dtype=np.int32)])[starts]  # piece ends before each word
                 whole = (row[:size] == row[width - 1 :]) & (breaks[:size] == breaks[width - 1 :])
                 h = hashes
                 if width == 2:
@@ -94,10 +101,20 @@ def _grams(width: int, heads, tails):
                 elif width == 3:
                     pairs = _pair_hash(hashes)
                     whole &= heads.value.holds(pairs[:-1]) | tails.value.holds(pairs[1:])
+                    h = W.mix(pairs[:-1] * W.STEP + hashes[2:])
                 places = np.flatnonzero(whole)
+                if width > 1:
+                    mixed = W.mix(h[places] + marks[langs[at + row[places]]])
+                    if often is None:
+                        mixed, times = np.unique(mixed, return_counts=True)
+                        yield pa.RecordBatch.from_arrays([pa.array(mixed.view(np.int64)), pa.array(times.astype(np.int64))], names=["h", "n"])
+                        continue
+                    places = places[often.value.holds(mixed)]
                 if not len(places):
                     continue
-                codes, lead = codes_of(low, starts, ends, hashes)
+                used = np.unique(np.concatenate([places + k for k in range(width)]))
+                codes = np.zeros(len(starts), np.int64)
+                codes[used], lead = codes_of(low, starts[used], ends[used], hashes[used])
                 key, many = langs[at + row[places]].astype(np.int64), len(named.dictionary)
                 for k in range(width):
                     key, many = _paired(key, many, codes[places + k], len(lead))
@@ -105,20 +122,31 @@ def _grams(width: int, heads, tails):
                 found = places[found]
                 phrases = joined(low, starts, ends, [found + k for k in range(width)])
                 names = named.dictionary.take(pa.array(langs[at + row[found]]))
-                h = h[found] if width < 3 else np.zeros(len(found), np.uint64)
                 yield pa.RecordBatch.from_arrays(
-                    [names.cast(pa.string()), phrases.cast(pa.string()), pa.array(times.astype(np.int64)), pa.array(h.view(np.int64))],
+                    [names.cast(pa.string()), phrases.cast(pa.string()), pa.array(times.astype(np.int64)), pa.array(h[found].view(np.int64))],
                     names=["lang", "phrase", "n", "h"],
                 )
 
     return count
 
 
-def _counted(texts: DataFrame, width: int, heads: Filter | None = None, tails: Filter | None = None) -> DataFrame:
-    """``lang``, ``phrase``, ``n``, ``h``: all counts of the phrases of ``width`` words that pass the filters."""
+def _words(texts: DataFrame) -> DataFrame:
+    """``lang``, ``phrase``, ``n``, ``h`` of every word."""
+    return texts.mapInArrow(_grams(1, None, None, None), COUNTED).groupBy("lang", "phrase").agg(F.sum("n").alias("n"), F.max("h").alias("h"))
+
+
+def _frequent(texts: DataFrame, width: int, least: int, heads: Filter, tails: Filter | None = None) -> DataFrame:
+    """``lang``, ``phrase``, ``n``, ``h`` of the phrases that pass the filters and occur ``least`` times or more.
+
+    Hashes are counted first, and strings only of those found often enough: nearly all phrases are rare, and a
+    hash is a long.  Phrases that share a hash add up there, so none is missed; the counts are those of the strings.
+    """
     send = texts.sparkSession.sparkContext.broadcast
-    parts = texts.mapInArrow(_grams(width, heads and send(heads), tails and send(tails)), COUNTED)
-    return parts.groupBy("lang", "phrase").agg(F.sum("n").alias("n"), F.max("h").alias("h"))
+    ends = send(heads), send(tails)
+    hashes = texts.mapInArrow(_grams(width, *ends, None), "h bigint, n bigint").groupBy("h").agg(F.sum("n").alias("n"))
+    often = Filter(write_shared(hashes.where(F.col("n") >= least).select("h"), "frequent-hashes"))
+    counted = texts.mapInArrow(_grams(width, *ends, send(often)), COUNTED)
+    return counted.groupBy("lang", "phrase").agg(F.sum("n").alias("n"), F.max("h").alias("h")).where(F.col("n") >= least)
 
 
 def _wide(name: str) -> str:
@@ -148,7 +176,7 @@ def _pairs(texts: DataFrame, words: DataFrame, least: int) -> DataFrame:
     at least: cut after x, its score is f(xy) / f(x) at most.
     """
     often = words.where(F.col("n") >= least)
-    pairs = _counted(texts, 2, Filter(often.select("h"))).where(F.col("n") >= least)
+    pairs = _frequent(texts, 2, least, Filter(often.select("h")))
     split = pairs.select("lang", "phrase", F.col("n").alias("a"), "h", F.substring_index("phrase", " ", 1).alias("x"), F.substring_index("phrase", " ", -1).alias("y"))
     first = often.select("lang", F.col("phrase").alias("x"), F.col("n").alias("l"))
     second = often.select("lang", F.col("phrase").alias("y"), F.col("n").alias("r"))
@@ -164,7 +192,7 @@ def _wave(texts: DataFrame, pairs: DataFrame, least: int) -> DataFrame:
     """
     reaching = pairs.where(F.col("score") >= F.col("floor"))
     heads, tails = Filter(pairs.where(F.col("bound") >= F.col("floor")).select("h")), Filter(reaching.select("h"))
-    triples = _counted(texts, 3, heads, tails).where(F.col("n") >= least)
+    triples = _frequent(texts, 3, least, heads, tails)
     word = lambda k: F.split_part("phrase", F.lit(" "), F.lit(k))
     split = triples.select("lang", "phrase", F.col("n").alias("a"), F.concat_ws(" ", word(1), word(2)).alias("xy"), F.concat_ws(" ", word(2), word(3)).alias("yz"))
     split = write_shared(split, "triples")
@@ -207,7 +235,7 @@ def collocations(
     are not read.
     """
     texts = docs.select(F.coalesce(F.col(lang_col), F.lit(UNKNOWN)).alias("lang"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
-    words = write_shared(_counted(texts, 1), "words")
+    words = write_shared(_words(texts), "words")
     totals = words.groupBy("lang").agg(F.sum("n").alias("n"))
     pairs = write_shared(_pairs(texts, words, least), "pairs")
     waves, wanted = [], FIRST_WAVE * top
