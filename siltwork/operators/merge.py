@@ -1,4 +1,7 @@
-"""Upserts, insert-or-ignore and the ledger of processed rows."""
+"""Upserts, insert-or-ignore and the ledger of processed rows, on whole tables.
+
+:mod:`siltwork.operators.keyed` has the same over a table whose untouched buckets stay as they are.
+"""
 
 from __future__ import annotations
 
@@ -10,6 +13,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siltwork.operators.keys import best_per_key
+from siltwork.published import publish
+
+__all__ = ["insert_ignore", "mark_processed", "one_per_key", "publish", "unprocessed", "upsert"]
 
 
 def _null_key(key: Sequence[str]) -> Column:
@@ -75,20 +81,3 @@ def mark_processed(
 def unprocessed(rows: DataFrame, ledger: DataFrame, key: str) -> DataFrame:
     """Rows not named in the ledger."""
     return rows.join(ledger.select(key), key, "left_anti").select(*rows.columns)
-
-
-def publish(df: DataFrame, table: str) -> None:
-    """Replace a catalog table by a new version written in full beside it.
-
-    The old version stays readable while the new one is written, so ``df`` may
-    read the table it replaces.
-    """
-    spark = df.sparkSession
-    fresh, old = f"{table}__new", f"{table}__old"
-    spark.sql(f"DROP TABLE IF EXISTS {fresh}")
-    df.write.saveAsTable(fresh)
-    if spark.catalog.tableExists(table):
-        spark.sql(f"DROP TABLE IF EXISTS {old}")
-        spark.sql(f"ALTER TABLE {table} RENAME TO {old}")
-    spark.sql(f"ALTER TABLE {fresh} RENAME TO {table}")
-    spark.sql(f"DROP TABLE IF EXISTS {old}")

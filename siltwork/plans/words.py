@@ -8,7 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from siltwork.functions.text import has_prefix, is_word, normal_word, words
 from siltwork.operators.reports import total_where
-from siltwork.sinks.files import overwrite_table
+from siltwork.published import publish
 from siltwork.sources.files import read_text, stream_text
 from siltwork.streaming.batches import replace_table_sink
 from siltwork.streaming.queries import start
@@ -31,7 +31,7 @@ def occurrences_with_prefix(counts: DataFrame, prefix: str) -> DataFrame:
 
 def count_files(spark: SparkSession, path: str, table: str) -> None:
     """Batch: count the words of all files and replace the table."""
-    overwrite_table(word_counts(read_text(spark, path)), table)
+    publish(word_counts(read_text(spark, path)), table)
 
 
 def count_stream(

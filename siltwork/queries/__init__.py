@@ -4,6 +4,7 @@ from siltwork.queries import (  # noqa: F401
     click_queries,
     finance_queries,
     income_queries,
+    published_queries,
     rule_queries,
     shop_queries,
     stream_queries,

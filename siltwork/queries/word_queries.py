@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from siltwork.plans import words
+from siltwork.published import Published
 from siltwork.queries.registry import query, table
 from siltwork.shared import shared_path
 from siltwork.sources.files import read_text, stream_text
-from siltwork.streaming.batches import replace_sink
+from siltwork.streaming.batches import published_sink
 from siltwork.streaming.queries import run_available
 
 COUNTS = """
@@ -42,8 +43,8 @@ def word_count_files(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(f"{COUNTS} SELECT * FROM counts")
 def word_count_stream(spark: SparkSession, folder: str) -> DataFrame:
-    """Running counts over the text files, in several micro-batches."""
+    """Running counts over the text files, in several micro-batches, each published as a version."""
     counts = words.word_counts(stream_text(spark, _text_files(spark, folder)))
     out = shared_path(spark, "word-counts")
-    run_available(counts, replace_sink(out), shared_path(spark, "checkpoint"), output_mode="complete")
-    return spark.read.schema(counts.schema).parquet(out)
+    run_available(counts, published_sink(out), shared_path(spark, "checkpoint"), output_mode="complete")
+    return Published(spark, out).read()

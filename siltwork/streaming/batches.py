@@ -10,10 +10,11 @@ import datetime as dt
 from collections.abc import Callable, Mapping
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltwork.sinks.files import landing_path, overwrite_table, write_csv, write_json, write_parquet, write_partitioned
+from siltwork.published import KEPT_VERSIONS, Published, publish
+from siltwork.sinks.files import landing_path, write_csv, write_json, write_parquet, write_partitioned
 from siltwork.streaming.queries import BatchSink
 
 BATCH_ID = "batch_id"
@@ -26,14 +27,14 @@ def replace_sink(path: str) -> BatchSink:
 
 
 def replace_table_sink(table: str, path: str | None = None, reader: SparkSession | None = None) -> BatchSink:
-    """Complete mode into a catalog table.
+    """Complete mode into a catalog table, whose readers see the result before a batch or after it.
 
-    Micro-batches run in a session of their own; ``reader`` is a session whose
+    ``path`` is the folder of its versions, see :func:`siltwork.published.publish`.  Micro-batches run in a session of their own; ``reader`` is a session whose
     cached file list of the table must be dropped after each batch.
     """
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        overwrite_table(batch, table, path)
+        publish(batch, table, path)
         if reader is not None:
             reader.catalog.refreshTable(table)
 
@@ -90,3 +91,25 @@ def to_all(*sinks: BatchSink) -> BatchSink:
             kept.unpersist()
 
     return sink
+
+
+def published_sink(path: str, part: Column | None = None, append: bool = False, keep: int = KEPT_VERSIONS) -> BatchSink:
+    """Each batch a version of a published table: the whole result, or with ``append`` what it adds.
+
+    The batch id is committed with the rows.  A batch that is replayed finds its id there and changes nothing, so
+    rows are appended once, whatever step the first try came to.  ``keep`` versions stay; see
+    :meth:`Published.expire`.
+    """
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        table = Published(batch.sparkSession, path)
+        held = table.manifest()
+        if held is not None and batch_id <= held.notes.get(BATCH_ID, -1):
+            return
+        if append:
+            table.append(batch, part, **{BATCH_ID: batch_id})
+        else:
+            table.replace(batch, **{BATCH_ID: batch_id})
+        table.expire(keep)
+
+    return sink
