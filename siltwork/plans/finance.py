@@ -12,6 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from siltwork.learning.models import (
     TREES, FeatureSet, fit_all, predictions, prepare, scores, standard_models, weights,
 )
+from siltwork.operators.keyed import KeyedTable
 from siltwork.operators.merge import upsert
 from siltwork.operators.reports import average_by
 from siltwork.plans.tables import CHARGES, SATISFACTION
@@ -63,6 +64,13 @@ def refresh_training(training: DataFrame, charges: DataFrame, satisfaction: Data
     return upsert(training, training_rows(charges, satisfaction), ["customer_id"])
 
 
+def refresh_training_in(path: str, charges: DataFrame, satisfaction: DataFrame) -> DataFrame:
+    """The training table kept by customer at ``path`` after an upsert that rewrites the touched buckets only."""
+    held = KeyedTable(charges.sparkSession, path, ["customer_id"])
+    held.upsert(training_rows(charges, satisfaction), on_duplicate="fail")
+    return held.read()
+
+
 @dataclass(frozen=True)
 class Comparison:
     features: FeatureSet

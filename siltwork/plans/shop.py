@@ -6,7 +6,7 @@ import datetime as dt
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltwork.functions.dates import age_in_years, stamp_text
@@ -15,7 +15,9 @@ from siltwork.functions.people import ADDRESS_FIELDS, age_group, parse_address
 from siltwork.operators import reports
 from siltwork.operators.columns import lift_fields, repair_types, union_renamed
 from siltwork.operators.facts import attach_headers, latest_products, order_headers
+from siltwork.operators.keyed import KeyMap
 from siltwork.operators.keys import dimension, lookup_key, number_rows
+from siltwork.operators.partials import DAY, DayTable, Partials
 from siltwork.shared import write_shared
 
 HEADER_KEY = ("customer_email", "date", "delivery_address")
@@ -71,6 +73,19 @@ def address_dimension(users: DataFrame, lines: DataFrame) -> DataFrame:
     )
 
 
+def stable_dimension(df: DataFrame, col: str, path: str) -> DataFrame:
+    """Like ``dimension``, with ids kept at ``path``: a value keeps the id it was given first."""
+    return KeyMap(df.sparkSession, path, ["name"]).assign(df.select(F.col(col).alias("name"))).select("id", "name")
+
+
+def stable_addresses(users: DataFrame, lines: DataFrame, path: str) -> DataFrame:
+    """Like :func:`address_dimension`, with ids kept at ``path``."""
+    both = union_renamed(users.select("address"), lines.select("delivery_address"), {"delivery_address": "address"})
+    held = KeyMap(users.sparkSession, path, ["address"]).assign(both)
+    parsed = held.withColumn("_place", parse_address(F.col("address")))
+    return lift_fields(parsed, "_place", ADDRESS_FIELDS).select("id", "address", *ADDRESS_FIELDS)
+
+
 def users_full(users: DataFrame, genders: DataFrame, addresses: DataFrame) -> DataFrame:
     """Users with gender and address ids, null where the value is unknown."""
     with_gender = lookup_key(users, genders, "gender", "gender_id")
@@ -154,19 +169,27 @@ class Silver:
     order_items_full: DataFrame
 
 
-def build_silver(users: DataFrame, logins: DataFrame, lines: DataFrame, as_of: dt.date) -> Silver:
+def build_silver(users: DataFrame, logins: DataFrame, lines: DataFrame, as_of: dt.date, ids: str | None = None) -> Silver:
     """All silver tables.
 
     Cleaned tables are written before they feed several others, so the raw
-    sources are read once.
+    sources are read once.  With ``ids``, a folder, the ids of addresses, genders, categories and devices
+    are kept there, so that rows written by earlier runs still point at the same values; else each run
+    numbers them anew in value order.
     """
     users = write_shared(clean_users(users, as_of), "cleaned-users")
     logins = write_shared(clean_logins(logins), "cleaned-logs")
     lines = write_shared(clean_orders(lines), "cleaned-orders")
-    address = address_dimension(users, lines)
-    gender = dimension(users, "gender")
-    category = dimension(lines, "product_category")
-    device = dimension(logins, "device")
+    if ids:
+        address = stable_addresses(users, lines, f"{ids}/address")
+        gender = stable_dimension(users, "gender", f"{ids}/gender")
+        category = stable_dimension(lines, "product_category", f"{ids}/category")
+        device = stable_dimension(logins, "device", f"{ids}/device")
+    else:
+        address = address_dimension(users, lines)
+        gender = dimension(users, "gender")
+        category = dimension(lines, "product_category")
+        device = dimension(logins, "device")
     products = product_full(lines, category)
     known = write_shared(known_headers(numbered_headers(lines), users, address), "headers")
     return Silver(
@@ -211,3 +234,26 @@ GOLD: dict[str, Callable[[DataFrame, DataFrame], DataFrame]] = {
 def build_gold(users: DataFrame, lines: DataFrame) -> dict[str, DataFrame]:
     """The six income reports over cleaned users and order lines that are already stored."""
     return {name: report(users, lines) for name, report in GOLD.items()}
+
+
+class GoldRefresh:
+    """The six income reports over order lines that arrive in batches.
+
+    Lines are kept by month below ``base``; of each hour and customer a partial total is kept.  A batch makes the
+    partials of the months it falls in anew, and the reports are made of partials alone: all of
+    them add up totals.
+    """
+
+    def __init__(self, spark: SparkSession, base: str):
+        self.lines = DayTable(spark, f"{base}/lines", "order_date", unit="month")
+        grain = {"hours": F.hour("order_date"), "customer_email": F.col("customer_email")}
+        self.totals = Partials(spark, f"{base}/totals", grain, {"total_price": ("sum", F.col("total_price"))})
+
+    def add(self, lines: DataFrame, batch_id: int) -> list[str]:
+        """Take in a batch of cleaned lines; the months that were read."""
+        self.lines.append(lines.select("order_date", "customer_email", "total_price"), batch_id)
+        return self.totals.refresh(self.lines)
+
+    def reports(self, users: DataFrame) -> dict[str, DataFrame]:
+        stamp = F.make_timestamp(F.year(DAY), F.month(DAY), F.dayofmonth(DAY), F.col("hours"), F.lit(0), F.lit(0))
+        return build_gold(users, self.totals.read().select(stamp.alias("order_date"), "customer_email", "total_price"))

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from siltwork.learning.features import assemble, scale_columns, split_rows
 from siltwork.learning.models import r_squared
+from siltwork.operators.keyed import KeyedTable
 from siltwork.operators.merge import insert_ignore, upsert
 from siltwork.plans import finance
 from siltwork.plans.tables import TRAINING
@@ -61,12 +62,15 @@ def feature_table(spark: SparkSession, folder: str) -> DataFrame:
     return finance.training_rows(inputs.charges(spark, folder), inputs.satisfaction(spark, folder))
 
 
-@query(f"""{FEATURES_SQL}, stored AS (
+TRAINING_SQL = f"""{FEATURES_SQL}, stored AS (
   SELECT customer_id, 0 AS customer_satisfaction_speed, 0 AS customer_satisfaction_product,
          0 AS customer_satisfaction_service, product_type, CAST(0 AS DECIMAL(16,2)) AS avg_amount_captured
   FROM satisfaction WHERE customer_no % 3 = 0)
 SELECT * FROM features
-UNION ALL SELECT * FROM stored WHERE customer_id NOT IN (SELECT customer_id FROM features)""")
+UNION ALL SELECT * FROM stored WHERE customer_id NOT IN (SELECT customer_id FROM features)"""
+
+
+@query(TRAINING_SQL)
 def training_refresh(spark: SparkSession, folder: str) -> DataFrame:
     """The upsert into a training table that already holds a third of the customers."""
     satisfaction = inputs.satisfaction(spark, folder)
@@ -77,6 +81,18 @@ def training_refresh(spark: SparkSession, folder: str) -> DataFrame:
     return finance.refresh_training(stored, inputs.charges(spark, folder), satisfaction)
 
 
+@query(TRAINING_SQL)
+def training_refresh_in_buckets(spark: SparkSession, folder: str) -> DataFrame:
+    """The same upsert into a stored table: the first third of the customers, then all with settled charges."""
+    satisfaction, charges = inputs.satisfaction(spark, folder), inputs.charges(spark, folder)
+    path = shared_path(spark, "training")
+    zeros = {name: F.lit(0) for name in finance.SCORES}
+    stored = satisfaction.where("CAST(right(customer_id, 12) AS BIGINT) % 3 = 0").withColumns({**zeros, "avg_amount_captured": F.lit(0).cast("decimal(16,2)")})
+    columns = finance.training_rows(charges, satisfaction).columns
+    KeyedTable(spark, path, ["customer_id"]).upsert(stored.select(*columns))
+    return finance.refresh_training_in(path, charges, satisfaction)
+
+
 @query("""
 WITH source AS (SELECT o_custkey AS id, o_orderstatus AS label, o_totalprice AS value,
                        row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey DESC) AS n

@@ -13,6 +13,7 @@ from siltwork.plans import shop
 from siltwork.queries import inputs
 from siltwork.queries.inputs import LINES_SQL, LOGINS_SQL, USERS_SQL
 from siltwork.queries.registry import query, table
+from siltwork.shared import shared_path
 
 AS_OF = dt.date(2024, 6, 15)
 
@@ -252,6 +253,41 @@ def gold_profit_by_age_group_and_gender(spark: SparkSession, folder: str) -> Dat
     return _gold(spark, folder, "profit_by_age_group_and_gender")
 
 
+def _refreshed(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A report after two batches of lines, the second of late lines in two months of each year."""
+    refresh = shop.GoldRefresh(spark, shared_path(spark, "gold"))
+    lines = _lines(spark, folder)
+    late = (F.col("id") % 3 == 0) & F.month("order_date").isin(2, 9)
+    whole = refresh.add(lines.where(~late), 0)
+    changed = refresh.add(lines.where(late), 1)
+    if not len(changed) < len(whole):
+        raise ValueError("the second batch read all months")
+    return refresh.reports(_users(spark, folder))[name]
+
+
+@query(f"""{GOLD_DAYS} SELECT month, date, CAST(total_income AS DECIMAL(30,2)) AS total_income,
+       lag(CAST(total_income AS DECIMAL(30,2)), 1, 0) OVER (ORDER BY month, date) AS prev_income,
+       CAST(total_income - lag(total_income, 1, 0) OVER (ORDER BY month, date) AS DECIMAL(31,2)) AS profit
+FROM days""")
+def gold_refreshed_dates_with_month(spark: SparkSession, folder: str) -> DataFrame:
+    return _refreshed(spark, folder, "total_income_by_dates_with_month")
+
+
+@query(f"""{SOLD} SELECT gender, age_group, CAST(SUM(total_price) AS DECIMAL(38,2)) AS total_income
+FROM sold GROUP BY ALL""")
+def gold_refreshed_age_group_and_gender(spark: SparkSession, folder: str) -> DataFrame:
+    return _refreshed(spark, folder, "profit_by_age_group_and_gender")
+
+
+@query(f"""{BASE}, names AS (SELECT product_category AS name, min(CASE WHEN month(order_date) < 7 THEN 0 ELSE 1 END) AS batch FROM clean_lines GROUP BY 1)
+SELECT row_number() OVER (ORDER BY batch, name NULLS FIRST) AS id, name FROM names""")
+def category_ids_kept(spark: SparkSession, folder: str) -> DataFrame:
+    """Category ids after a run over the first half of each year and one over all lines."""
+    lines, ids = _lines(spark, folder), shared_path(spark, "ids")
+    shop.stable_dimension(lines.where(F.month("order_date") < 7), "product_category", ids)
+    return shop.stable_dimension(lines, "product_category", ids)
+
+
 @query("""
 SELECT *, row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice,
                              l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate) AS id

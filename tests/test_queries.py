@@ -15,7 +15,7 @@ FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
 CALENDAR = {
     "clicks_by_month", "clicks_by_month_per_year", "income_by_date_profit", "income_vs_month_avg",
-    "income_vs_own_month_avg", "gold_income_by_dates_with_month", "gold_income_by_avg_month",
+    "income_vs_own_month_avg", "gold_income_by_dates_with_month", "gold_income_by_avg_month", "gold_refreshed_dates_with_month",
 }
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test tables")

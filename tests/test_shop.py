@@ -92,3 +92,33 @@ def test_gold(silver):
         (1, Decimal("5.00")), (2, Decimal("20.00"))]
     assert [(r.gender, r.age_group) for r in gold["profit_by_age_group_and_gender"]] == [("Female", "26-40"), ("Male", "18-25")]
     assert len(gold) == 6
+
+
+def test_ids_of_earlier_runs_stay(spark, tmp_path):
+    def text(rows, names):
+        return spark.createDataFrame(rows, ", ".join(f"{n} string" for n in names.split()))
+
+    users = "id first_name last_name email gender dob phone_number address"
+    logins = "id login_date logout_date user_email device"
+    lines = "id customer_email order_date delivery_address product_name product_category product_brand product_description quantity unit_price total_price"
+    build = lambda u, l: shop.build_silver(text(u, users), text(LOGINS, logins), text(l, lines), AS_OF, str(tmp_path / "ids"))
+    first = build(USERS[:2], LINES[2:])
+    tables = {name: {r[1]: r[0] for r in getattr(first, name).collect()} for name in ("address", "gender", "category", "device")}
+    facts = {r.id: r.address_id for r in first.users_full.collect()}
+    second = build(USERS, LINES)
+    for name, before in tables.items():
+        after = {r[1]: r[0] for r in getattr(second, name).collect()}
+        assert {k: after[k] for k in before} == before and sorted(after.values()) == list(range(1, len(after) + 1))
+    assert len(tables["address"]) < second.address.count()
+    assert {k: v for k, v in ((r.id, r.address_id) for r in second.users_full.collect()) if k in facts} == facts
+
+
+def test_gold_of_batches_is_gold_of_all(spark, silver, tmp_path):
+    refresh = shop.GoldRefresh(spark, str(tmp_path / "gold"))
+    assert len(refresh.add(silver.lines.where("id <> 2"), 0)) == 2
+    assert refresh.add(silver.lines.where("id <> 2"), 0) == []
+    assert refresh.add(silver.lines.where("id = 2"), 1) == ["2024-01-01"]
+    whole, batches = shop.build_gold(silver.users, silver.lines), refresh.reports(silver.users)
+    for name in whole:
+        plain = lambda df: sorted([tuple(map(str, r)) for r in df.collect()])
+        assert plain(batches[name]) == plain(whole[name]), name
