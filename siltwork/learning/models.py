@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 import numpy as np
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml.base import Estimator, Model
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression, RandomForestRegressor
@@ -15,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siltwork.learning.features import FEATURES, SEED, assemble, scale_columns, split_rows
+from siltwork.shared import write_shared
 
 # Hyper-parameters of the four models.
 TREES = 2000
@@ -37,7 +39,7 @@ class FeatureSet:
 def prepare(df: DataFrame, key: str, numeric: Sequence[str], category: str, label: str) -> FeatureSet:
     """Split, scale by the training rows, encode and assemble.
 
-    Categories and label are set before the split, so a category that occurs
+    Both sides are written once: penalty choice, fits, predictions and scores read them.  Categories and label are set before the split, so a category that occurs
     only among the test rows still has its place in the vector.
     """
     rows = df.select(key, *numeric, category, F.col(label).cast("double").alias(label))
@@ -47,8 +49,8 @@ def prepare(df: DataFrame, key: str, numeric: Sequence[str], category: str, labe
     others = assembler.stages[0].labels[:-1]
     names = [*numeric, *(f"{category}_{value}" for value in others)]
     return FeatureSet(
-        assembler.transform(scale_columns(train, numeric, train)).select(key, label, FEATURES),
-        assembler.transform(scale_columns(test, numeric, train)).select(key, label, FEATURES),
+        write_shared(assembler.transform(scale_columns(train, numeric, train)).select(key, label, FEATURES), "train"),
+        write_shared(assembler.transform(scale_columns(test, numeric, train)).select(key, label, FEATURES), "test"),
         names,
         label,
     )
@@ -114,10 +116,25 @@ def standard_models(features: FeatureSet, trees: int = TREES) -> dict[str, Estim
 
 
 def fit_all(features: FeatureSet, estimators: Mapping[str, Estimator]) -> dict[str, Model]:
-    """Fit each estimator on the kept training rows."""
+    """Fit each estimator on the kept training rows, all at once.
+
+    Each fit runs its jobs from a thread of its own, in a pool of its name where the session schedules fairly, so that
+    one fit's last tasks do not leave the cluster idle.
+    """
     train = features.train.persist(StorageLevel.MEMORY_AND_DISK)
+    context = train.sparkSession.sparkContext
+
+    def fit(name: str) -> Model:
+        context.setLocalProperty("spark.scheduler.pool", name)
+        try:
+            return estimators[name].fit(train)
+        finally:
+            context.setLocalProperty("spark.scheduler.pool", None)
+
     try:
-        return {name: estimator.fit(train) for name, estimator in estimators.items()}
+        with ThreadPoolExecutor(max(1, len(estimators))) as threads:
+            started = {name: threads.submit(inheritable_thread_target(train.sparkSession)(fit), name) for name in estimators}
+            return {name: started[name].result() for name in estimators}
     finally:
         train.unpersist()
 

@@ -17,8 +17,11 @@ from siltwork.functions.people import AGE_BAND_ORDER, TIME_OF_DAY_ORDER, age_gro
 from siltwork.operators import reports
 from siltwork.operators.columns import shape
 from siltwork.operators.geo import locate
+from siltwork.operators.ledger import open_folders, read_folders
 from siltwork.operators.merge import unprocessed
+from siltwork.operators.partials import DayTable
 from siltwork.plans.tables import CLICK_MESSAGE, CLICKS
+from siltwork.published import Published
 from siltwork.sources.jdbc import uploaded_on
 from siltwork.streaming.batches import csv_sink, fan_out, json_sink, parquet_sink, staged_sink
 from siltwork.streaming.queries import EVERY, BatchSink, start
@@ -93,6 +96,23 @@ def process_waiting(clicks: DataFrame, bands: DataFrame, target: str, day: dt.da
     enrich(waiting_clicks(clicks, done, day), bands).write.mode("append").parquet(target)
 
 
+def process_new(clicks: DayTable, bands: DataFrame, target: Published) -> DataFrame:
+    """Append the enriched form of clicks in folders that ``target`` was not made of yet; these rows.
+
+    The target's manifest names the folders it was made of: one commit adds rows and marks their folders
+    done, and no folder that is done is read again.
+    """
+    now, held = clicks.table.manifest(), target.manifest()
+    left = open_folders(now, held.notes.get("done", {}) if held else {})
+    enriched = enrich(read_folders(clicks.table, now, left), bands)
+    if not left and held:
+        return enriched.limit(0)
+    before = {part: set(folders) for part, folders in held.parts.items()} if held else {}
+    made = target.append(enriched, F.to_date("activity_time"), done=now.parts)
+    added = {part: [f for f in folders if f not in before.get(part, ())] for part, folders in made.parts.items()}
+    return read_folders(target, made, added)
+
+
 REPORTS: dict[str, Callable[[DataFrame], DataFrame]] = {
     "df_country": lambda clicks: reports.clicks_ranked(clicks, "country"),
     "df_city": lambda clicks: reports.clicks_ranked(clicks, "city"),

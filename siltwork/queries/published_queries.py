@@ -6,11 +6,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltwork.functions.money import amount
+from siltwork.learning.folds import cross_validated
 from siltwork.operators.geo import flatten_bands, locate
 from siltwork.operators.keyed import KeyedTable, KeyIndex, KeyMap
+from siltwork.operators.ledger import Ledger
 from siltwork.operators.partials import DAY, DayTable, Partials
+from siltwork.published import Published
 from siltwork.queries.registry import query, table
-from siltwork.shared import shared_path
+from siltwork.shared import shared_path, write_shared
+from siltwork.sources.landing import LandedFiles, read_landed
+from siltwork.sources.splits import plan_splits
+from siltwork.streaming.batches import published_sink
+from siltwork.streaming.queries import run_available
+from siltwork.streaming.state import carried_counts, seed_counts
 
 COLUMNS = "o_orderkey, o_custkey, o_orderstatus, o_totalprice"
 
@@ -153,3 +161,103 @@ def ip_geo_nested(spark: SparkSession, folder: str) -> DataFrame:
         bands = bands.union(nations.selectExpr(f"{start} + {since}", f"{start} + {until}", "n_name", f"'{city}'"))
     fields = ("country", "city")
     return locate(events, flatten_bands(bands, fields), fields=fields).drop("ip_address")
+
+
+@query("""
+SELECT event_id, ts, CASE WHEN event_id % 4 <> 0 OR event_id % 8 = 0 THEN 'transformed' ELSE 'uploaded' END AS status FROM events""")
+def ledger_marked(spark: SparkSession, folder: str) -> DataFrame:
+    """Status of every event: a first batch finished, of a second batch single rows."""
+    source, ledger = _ledgered(spark, folder)
+    return ledger.marked(source.table, "status", "transformed")
+
+
+@query("SELECT event_id, ts, 'uploaded' AS status FROM events WHERE event_id % 4 = 0 AND event_id % 8 <> 0")
+def ledger_waiting(spark: SparkSession, folder: str) -> DataFrame:
+    """Events not processed yet, from the folders that are not done."""
+    source, ledger = _ledgered(spark, folder)
+    return ledger.waiting(source.table)
+
+
+def _ledgered(spark: SparkSession, folder: str) -> tuple[DayTable, Ledger]:
+    events = table(spark, folder, "events").select("event_id", "ts", F.lit("uploaded").alias("status"))
+    source = DayTable(spark, shared_path(spark, "uploads"), "ts")
+    ledger = Ledger(spark, shared_path(spark, "ledger"), "event_id")
+    source.append(events.where("event_id % 4 <> 0"))
+    ledger.finish(source.table.manifest())
+    source.append(events.where("event_id % 4 = 0"))
+    ledger.mark(source.table, events.where("event_id % 8 = 0"))
+    return source, ledger
+
+
+@query("SELECT l_orderkey, l_linenumber, l_partkey, true AS even FROM lineitem")
+def split_ranges(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines read in 16 ranges of a column in which one value holds a third of the rows; every row comes once."""
+    skewed = F.when(F.col("l_orderkey") % 3 == 0, 77).otherwise(F.col("l_partkey") * F.col("l_partkey")).alias("skewed")
+    lines = write_shared(table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", skewed), "skewed-lines")
+    ranges = plan_splits(lines, "skewed", 16)
+    parts = [lines.where(p).withColumn("_range", F.lit(k)) for k, p in enumerate(ranges)]
+    together = parts[0]
+    for part in parts[1:]:
+        together = together.unionByName(part)
+    share = lines.count() / 16
+    sizes = together.groupBy("_range").agg(F.count("*").alias("rows"), F.countDistinct("skewed").alias("values"))
+    fair = sizes.where((F.col("rows") > 2 * share) & (F.col("values") > 1)).isEmpty()  # one value cannot be parted
+    return together.select("l_orderkey", "l_linenumber", "l_partkey", F.lit(fair).alias("even"))
+
+
+@query("SELECT o_orderkey, o_custkey, o_orderstatus FROM orders")
+def landed_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    """Files that land in three rounds: new ones, copies of old ones under new names, and an old name with other rows."""
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    base = shared_path(spark, "landed")
+    files = LandedFiles(spark, f"{base}/manifest")
+    taken = None
+    for number, rounds in enumerate([[("a", 0), ("b", 1)], [("c", 0), ("d", 2)], [("a", 3)]]):
+        for name, rest in rounds:
+            orders.where(f"o_orderkey % 4 = {rest}").repartition(1).sortWithinPartitions("o_orderkey").write.mode("overwrite").option("header", True).csv(f"{base}/in/{name}")
+        looked = write_shared(files.look(f"{base}/in/*/*.csv"), "looked")
+        rows = write_shared(read_landed(spark, looked, orders.schema), "loaded")
+        files.take(looked)
+        taken = rows if taken is None else taken.unionByName(rows)
+    return taken
+
+
+@query("""
+WITH moments AS (
+  SELECT a.f AS fold, count(*) AS n, avg(l_quantity) AS mx, avg(l_discount) AS mz, avg(l_extendedprice) AS my,
+         var_pop(l_quantity) * count(*) AS xx, var_pop(l_discount) * count(*) AS zz, covar_pop(l_quantity, l_discount) * count(*) AS xz,
+         covar_pop(l_quantity, l_extendedprice) * count(*) AS xy, covar_pop(l_discount, l_extendedprice) * count(*) AS zy
+  FROM lineitem, (SELECT unnest([0, 1, 2]) AS f) a WHERE l_orderkey % 3 <> a.f GROUP BY a.f),
+fits AS (SELECT *, ((zz + alpha) * xy - xz * zy) / ((xx + alpha) * (zz + alpha) - xz * xz) AS bx, ((xx + alpha) * zy - xz * xy) / ((xx + alpha) * (zz + alpha) - xz * xz) AS bz
+  FROM moments, (SELECT unnest([0.0, 1.0, 100.0]) AS alpha))
+SELECT CAST(alpha AS DOUBLE) AS alpha, CAST(fold AS INTEGER) AS fold, COUNT(*) AS rows, round(any_value(bx), 3) AS slope_l_quantity, round(any_value(bz), 3) AS slope_l_discount,
+       round(1e-6 * avg(power(l_extendedprice - my - bx * (l_quantity - mx) - bz * (l_discount - mz), 2)), 4) AS mean_squared_error
+FROM lineitem JOIN fits ON l_orderkey % 3 = fold GROUP BY alpha, fold""")
+def ridge_folds(spark: SparkSession, folder: str) -> DataFrame:
+    """Least squares and ridge of two features over three folds, from one aggregate."""
+    lines = table(spark, folder, "lineitem")
+    fold = (F.col("l_orderkey") % 3).cast("int")
+    found = cross_validated(lines, ["l_quantity", "l_discount"], "l_extendedprice", [0.0, 1.0, 100.0], fold)
+    return found.select(
+        "alpha", "fold", "rows", F.round("slope_l_quantity", 3).alias("slope_l_quantity"), F.round("slope_l_discount", 3).alias("slope_l_discount"),
+        F.round(F.col("mean_squared_error") * 1e-6, 4).alias("mean_squared_error"),
+    )
+
+
+@query("SELECT event_type, COUNT(*) AS count FROM events GROUP BY ALL")
+def running_counts_moved(spark: SparkSession, folder: str) -> DataFrame:
+    """Counts of half the events, whose state goes on in a query with another number of partitions."""
+    base = shared_path(spark, "moved")
+    events = table(spark, folder, "events").select("event_id", "event_type")
+    for half in (0, 1):
+        events.where(f"event_id % 2 = {half}").write.parquet(f"{base}/in{half}")
+    stream = lambda half: spark.readStream.schema(events.schema).parquet(f"{base}/in{half}")
+    run_available(stream(0).groupBy("event_type").count(), published_sink(f"{base}/first"), f"{base}/checkpoint", output_mode="complete")
+    seed_counts(spark, f"{base}/checkpoint", ["event_type"], f"{base}/seeds")
+    partitions = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "3")
+    try:
+        run_available(carried_counts(stream(1), ["event_type"], f"{base}/seeds"), published_sink(f"{base}/out"), f"{base}/next", output_mode="complete")
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    return Published(spark, f"{base}/out").read()
