@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltwork.learning.features import assemble, scale_columns, split_rows
-from siltwork.learning.models import r_squared
+from siltwork.learning.models import FeatureSet, fit_all, predictions, r_squared, ridge_penalty, scores, weights
 from siltwork.operators.keyed import KeyedTable
 from siltwork.operators.merge import insert_ignore, upsert
 from siltwork.plans import finance
@@ -281,3 +281,56 @@ def model_weights(spark: SparkSession, folder: str) -> DataFrame:
 def model_predictions(spark: SparkSession, folder: str) -> DataFrame:
     """True against predicted value of every row under every model."""
     return _compared(spark, folder).predictions
+
+
+TWO_FEATURES = """
+WITH m AS (
+  SELECT count(*) AS n, avg(l_quantity) AS mx, avg(l_discount) AS mz, avg(l_extendedprice) AS my,
+         var_pop(l_quantity) * count(*) AS xx, var_pop(l_discount) * count(*) AS zz, covar_pop(l_quantity, l_discount) * count(*) AS xz,
+         covar_pop(l_quantity, l_extendedprice) * count(*) AS xy, covar_pop(l_discount, l_extendedprice) * count(*) AS zy
+  FROM lineitem WHERE l_orderkey % 5 <> 0),
+fits AS (SELECT *, ((zz + alpha) * xy - xz * zy) / ((xx + alpha) * (zz + alpha) - xz * xz) AS bx,
+                ((xx + alpha) * zy - xz * xy) / ((xx + alpha) * (zz + alpha) - xz * xz) AS bz
+         FROM m, (SELECT 'LinearRegression' AS model, 0.0 AS alpha UNION ALL SELECT 'Ridge', 10.0)),
+predicted AS (SELECT model, CASE WHEN l_orderkey % 5 <> 0 THEN 'train' ELSE 'test' END AS side, l_extendedprice AS y,
+                     my + bx * (l_quantity - mx) + bz * (l_discount - mz) AS p
+              FROM lineitem, fits)
+"""
+
+
+def _two_features(spark: SparkSession, folder: str):
+    lines = table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_discount", "l_extendedprice")
+    names = ["l_quantity", "l_discount"]
+    rows = VectorAssembler(inputCols=names, outputCol="features").transform(lines)
+    train, test = rows.where("l_orderkey % 5 <> 0"), rows.where("l_orderkey % 5 = 0")
+    features = FeatureSet(train, test, names, "l_extendedprice")
+    spread, count = train.agg(F.stddev_pop("l_extendedprice"), F.count("*")).first()
+    plain = {"featuresCol": "features", "labelCol": "l_extendedprice", "standardization": False, "solver": "normal"}
+    fitted = fit_all(features, {
+        "LinearRegression": LinearRegression(regParam=0.0, **plain),
+        "Ridge": LinearRegression(regParam=ridge_penalty(10.0, spread, count), elasticNetParam=0.0, **plain),
+    })
+    return lines, features, fitted
+
+
+@query(f"""{TWO_FEATURES}
+SELECT model, side, round(1 - sum((y - p) * (y - p)) / (var_pop(y) * count(y)), 5) AS r2 FROM predicted GROUP BY model, side""")
+def linear_models_scored(spark: SparkSession, folder: str) -> DataFrame:
+    """R² of least squares and ridge on the rows they were fitted on and on the others."""
+    _, features, fitted = _two_features(spark, folder)
+    return scores(predictions(features, fitted)).select("model", "side", F.round("r2", 5).alias("r2"))
+
+
+@query(f"""{TWO_FEATURES}
+SELECT model, 'l_quantity' AS feature, round(bx, 3) AS weight FROM fits UNION ALL SELECT model, 'l_discount', round(bz, 3) FROM fits""")
+def linear_models_weighed(spark: SparkSession, folder: str) -> DataFrame:
+    lines, features, fitted = _two_features(spark, folder)
+    return weights(lines, features, fitted).withColumn("weight", F.round("weight", 3))
+
+
+@query(f"{TWO_FEATURES} SELECT model, side, y AS true_value, round(p, 2) AS predicted_value FROM predicted WHERE model = 'Ridge'")
+def ridge_predictions(spark: SparkSession, folder: str) -> DataFrame:
+    """The true value of every row beside what ridge regression says."""
+    _, features, fitted = _two_features(spark, folder)
+    found = predictions(features, {"Ridge": fitted["Ridge"]})
+    return found.withColumn("predicted_value", F.round("predicted_value", 2))
