@@ -63,20 +63,20 @@ def _pack(capacity: int):
         block = key[0].as_py()
         ids, total = table.column("doc_id").to_pylist(), table.column("size").to_pylist()
         sources, clusters = _codes(table.column("source").to_pylist()), _codes(table.column("cluster").to_pylist())
-        # Whole bins of a long text are its own; what remains is packed with others.
-        rest = [n % capacity if n > capacity else n for n in total]
+        # A long text is cut before the character that would not fit; what remains after the last cut is packed with others.
+        cuts = [[0, *c] for c in table.column("cuts").to_pylist()]
+        rest = [n - c[-1] for n, c in zip(total, cuts)]
         open_ = [i for i, n in enumerate(total) if rest[i] or not n]
         bins = best_fit([rest[i] for i in open_], [sources[i] for i in open_], [clusters[i] for i in open_], capacity)
         used = max(bins, default=-1) + 1
         rows, start = [], np.zeros(used + 1, np.int64)
         of = dict(zip(open_, bins))
         for i, n in enumerate(total):
-            whole = (n - rest[i]) // capacity
-            for piece in range(whole):
-                rows.append((ids[i], piece, used, 0, capacity, piece * capacity))
+            for piece, (since, until) in enumerate(zip(cuts[i], cuts[i][1:])):
+                rows.append((ids[i], piece, used, 0, until - since, since))
                 used += 1
             if i in of:
-                rows.append((ids[i], whole, of[i], int(start[of[i]]), rest[i], whole * capacity))
+                rows.append((ids[i], len(cuts[i]) - 1, of[i], int(start[of[i]]), rest[i], cuts[i][-1]))
                 start[of[i]] += rest[i]
         doc, piece, bin_, at, size, text_start = zip(*rows)
         high = block << LOCAL_BITS
@@ -94,6 +94,31 @@ def _pack(capacity: int):
     return pack
 
 
+def cuts_of(capacity: int):
+    """Column function: text to the bytes at which pieces after the first begin; none for a text that fits.
+
+    Each piece ends before the character that would not fit in ``capacity`` bytes, so that it can be read
+    by itself; only where a single character does not fit is it cut inside.
+    """
+
+    @F.arrow_udf("array<bigint>")
+    def cuts(texts: pa.Array) -> pa.Array:
+        out = []
+        for text in texts:
+            raw = b"" if not text.is_valid else text.as_buffer().to_pybytes()
+            at, found = 0, []
+            while len(raw) - at > capacity:
+                end = at + capacity
+                while end > at and raw[end] & 0xC0 == 0x80:
+                    end -= 1
+                at = end if end > at else at + capacity
+                found.append(at)
+            out.append(found)
+        return pa.array(out, pa.list_(pa.int64()))
+
+    return cuts
+
+
 def pack_documents(
     docs: DataFrame,
     capacity: int = CAPACITY,
@@ -107,8 +132,8 @@ def pack_documents(
 
     Sizes are UTF-8 bytes.  No two documents of one source, and no two of one
     duplicate cluster, share a bin; the cluster is ``cluster_col``, or else the text
-    without white space.  A text longer than a bin fills whole bins of its own, and its
-    rest is packed like a short text; so every byte has one place.
+    without white space.  A text longer than a bin is cut between characters into bins of its own, and its
+    rest is packed like a short text; so every byte has one place, and every piece is text.
 
     Rows are dealt evenly over blocks of about ``block_rows`` by their place in a
     written table, and each block is packed alone, largest first.  A hot source or
@@ -125,6 +150,7 @@ def pack_documents(
     narrow = docs.select(
         F.col(id_col).cast("bigint").alias("doc_id"),
         F.octet_length(text).cast("bigint").alias("size"),
+        F.coalesce(cuts_of(capacity)(F.when(F.octet_length(text) > capacity, text)), F.array().cast("array<bigint>")).alias("cuts"),
         known(source_col, source).alias("source"),
         known(cluster_col, F.when(F.octet_length(text) > 0, cluster)).alias("cluster"),
     )

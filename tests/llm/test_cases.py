@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from siltwork.llm.components import components
 from siltwork.llm.decontamination import benchmark_matches, drop_contaminated
+from siltwork.llm import exact
 from siltwork.llm.exact import DigestIndex, drop_copies
+from siltwork.llm.folds import bounded_distinct
 from siltwork.llm.language import identify
 from siltwork.llm.licences import licence_scan
 from siltwork.llm.lines import drop_repeated_lines
@@ -108,6 +110,54 @@ def test_exact_index_in_its_buckets(spark, tmp_path):
     assert again.buckets == 8 and again.read().count() == 2_000
 
 
+def test_exact_index_grows_and_is_written_anew(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(exact, "BUCKET_FILES", 5)
+    index = DigestIndex(spark, str(tmp_path / "index"), buckets=2, bucket_rows=100)
+    texts = lambda a, b: spark.range(a, b).selectExpr("id AS doc_id", "concat('text ', id) AS text")
+    for batch in range(9):
+        rows = index.absorb(texts(batch * 40, batch * 40 + 60)).collect()
+        assert sum(r["kept"] for r in rows) == 60 and all(r["keep_id"] == r["doc_id"] for r in rows)  # the index has the same rows
+        assert all(not r["kept"] for r in index.absorb(texts(batch * 40, batch * 40 + 20).withColumn("doc_id", F.col("doc_id") + 10_000)).collect())
+    assert index.buckets >= 4 and index.read().count() == 380
+    again = DigestIndex(spark, index.path)
+    again.open()
+    assert again.buckets == index.buckets and again.read().count() == 380
+    assert len(again.read().inputFiles()) <= again.buckets * 6
+
+
+def test_drop_copies_of_any_columns(spark):
+    rows = [(1, "a b", {"k": 1}, "x"), (1, "a  b", {"k": 2}, "y"), (1, "a  b", {"k": 2}, "y"), (2, "ab", {"k": 3}, None), (3, None, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, pairs map<string,int>, `a.b` string").withColumn("od`d", F.lit(1))
+    kept = drop_copies(docs, DigestIndex(spark))
+    assert kept.columns == docs.columns
+    assert sorted(map(str, (tuple(r)[:4] for r in kept.collect()))) == sorted(map(str, [(1, "a  b", {"k": 2}, "y"), (3, None, None, None)]))
+
+
+def test_sample_of_different_rows(spark):
+    third = spark.range(20_000).selectExpr("'one text' AS text", "'en' AS lang")
+    rest = spark.range(40_000).selectExpr("concat('text ', id) AS text", "CASE WHEN id % 9 = 0 THEN NULL ELSE 'de' END AS lang")
+    rows = third.unionByName(rest).unionByName(rest.where("text < 'text 2'")).repartition(7)
+    sample = bounded_distinct(rows, 3_000)
+    assert 2_500 <= sample.count() <= 3_500 and sample.count() == sample.distinct().count()
+    assert bounded_distinct(rows, 100_000).count() == 40_001
+    assert bounded_distinct(rows.where("false"), 10).count() == 0
+
+
+def test_packed_pieces_are_text(spark):
+    texts = ["a" + "é" * 9000, "€" * 20_000, "x" * 40_000, "ab" * 8192, "𝄞" * 5000 + "z", "short", None, ""]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").withColumn("source", F.lit(None).cast("string"))
+    for capacity in (16_384, 1000, 7):
+        pieces = {}
+        for r in pack_documents(docs, capacity=capacity).collect():
+            raw = (texts[r["doc_id"]] or "").encode()[r["text_start"] : r["text_start"] + r["size"]]
+            raw.decode()
+            assert r["size"] <= capacity
+            pieces.setdefault(r["doc_id"], {})[r["piece"]] = raw
+        for doc, text in enumerate(texts):
+            assert b"".join(pieces[doc][k] for k in sorted(pieces[doc])) == (text or "").encode()
+    assert pack_documents(docs.where("doc_id = 1"), capacity=2).agg(F.sum("size")).first()[0] == 60_000
+
+
 def test_drop_copies(odd):
     kept = drop_copies(odd, DigestIndex(odd.sparkSession))
     assert kept.columns == odd.columns

@@ -70,7 +70,7 @@ def components_of(sets, percent=80):
 @tables
 def test_queries_are_registered():
     assert [q for q in driver.queries() if re.match(r"op\d+_", q)] and "pipeline" in driver.queries()
-    assert {int(re.match(r"op(\d+)_", q)[1]) for q in LLM_QUERIES if q != "pipeline"} == set(range(1, 11))
+    assert {int(re.match(r"op(\d+)_", q)[1]) for q in LLM_QUERIES if q != "pipeline"} == set(range(1, 14))
 
 
 @tables
