@@ -16,7 +16,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siltwork.llm import words as W
-from siltwork.llm.folds import bounded, held_out
+from siltwork.llm.folds import bounded_distinct, held_out
+from siltwork.shared import write_shared
 
 SAMPLE_DOCS = 20_000
 ORDERS = (2, 3)
@@ -171,8 +172,9 @@ def _weights(counts: np.ndarray, codes: np.ndarray) -> np.ndarray:
 
 
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample_docs: int = SAMPLE_DOCS) -> Model:
-    """Learn from rows that are not held out and have a language, ``sample_docs`` of them at most.
+    """Learn from rows that are not held out and have a language: from ``sample_docs`` different ones at most.
 
+    Of rows with one text and language one counts, however many there are.
     Two thirds of the sample give the classifiers, the rest the weights of
     the bits.  What reaches the driver is a count for each language and cell,
     and a margin for each row and bit of the sample.
@@ -180,7 +182,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     known = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & ~held_out(id_col))
     fold = F.pmod(F.xxhash64(F.col(text_col), F.lit(3)), F.lit(3)).cast("int")
     known = known.select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang"), fold.alias("fold"))
-    sample = bounded(known, F.col("text"), sample_docs)
+    sample = write_shared(bounded_distinct(known, sample_docs), "sample")
     found = sample.mapInArrow(_count_cells, "lang string, fold int, cell int, n bigint")
     rows = found.groupBy("lang", "fold", "cell").agg(F.sum("n").alias("n")).toArrow()
     languages = sorted(set(rows.column("lang").to_pylist()))
