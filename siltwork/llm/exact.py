@@ -3,17 +3,19 @@
 from __future__ import annotations
 
 import hashlib
+import uuid
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltwork.operators.keys import COPY, tell_copies_apart
+from siltwork.published import Manifest, Published
 from siltwork.shared import shared_path, write_shared
 
 SPACES = " \t\n\x0b\f\r"
 BUCKETS, MOST_BUCKETS = 64, 100_000
 BUCKET_ROWS = 2_000_000  # at about 100 bytes
+BUCKET_FILES = 16
 
 
 def normalised(text: Column) -> Column:
@@ -25,41 +27,60 @@ class DigestIndex:
     """Digests seen so far, as a table bucketed and sorted by digest.
 
     The files below ``path`` outlast the session; opening the path again
-    registers them, with the number of buckets noted there.  A new index gets
-    ``buckets``, or else one for each ``BUCKET_ROWS`` digests of the first batch
+    registers them, with the folder and the number of buckets noted in a manifest there.  A new index gets
+    ``buckets``, or else one for each ``bucket_rows`` digests of the first batch
     and ``BUCKETS`` at least.  ``absorb`` holds a batch against the index by a sort-merge
-    anti-join on the buckets and appends what is new.  A batch that is replayed
-    after its append gets the same answers.
+    anti-join on the buckets and appends what is new.  Where a batch would bring more than ``bucket_rows`` digests to a
+    bucket, or its file would be more than the ``BUCKET_FILES``th of a bucket, the index is written anew first, in twice as
+    many buckets or more, or as many: one file a bucket, in a folder that the manifest names once it is
+    whole.  A batch that is replayed after its append gets the same answers.
     """
 
-    def __init__(self, spark: SparkSession, path: str | None = None, buckets: int | None = None):
+    def __init__(self, spark: SparkSession, path: str | None = None, buckets: int | None = None, bucket_rows: int = BUCKET_ROWS):
         self.spark = spark
         self.path = path or shared_path(spark, "digest-index")
-        self.buckets = buckets
-        self.table = f"digests_{hashlib.md5(self.path.encode()).hexdigest()}"
+        self.buckets, self.bucket_rows = buckets, bucket_rows
+        self.layout = Published(spark, f"{self.path}/layout")
+        self.table = ""
+
+    def _register(self, folder: str, buckets: int) -> str:
+        """The catalog's name of the digests in a folder."""
+        where = f"{self.path}/{folder}"
+        name = f"digests_{hashlib.md5(where.encode()).hexdigest()}"
+        quoted = where.replace("'", "\\'")
+        self.spark.sql(
+            f"CREATE TABLE IF NOT EXISTS {name} (digest STRING, keep_id BIGINT, points BIGINT) USING parquet "
+            f"CLUSTERED BY (digest) SORTED BY (digest) INTO {buckets} BUCKETS LOCATION '{quoted}'"
+        )
+        return name
 
-    def _noted_buckets(self) -> int | None:
-        try:
-            noted = self.spark.read.schema("buckets int").parquet(f"{self.path}/layout").first()
-        except AnalysisException as missing:
-            if missing.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return None
-        return noted and noted["buckets"]
+    def _note(self, held: Manifest | None, **notes: object) -> Manifest:
+        schema = held.schema if held else self.spark.range(0).schema
+        return self.layout.commit(held, schema, {}, {}, {**(held.notes if held else {}), **notes})
+
+    def _insert(self, rows: DataFrame, table: str, buckets: int) -> None:
+        # By the bucket itself, so a bucket gets one file however many tasks write; the writer sorts.
+        bucket = F.pmod(F.hash("digest"), F.lit(buckets))
+        rows.repartitionByRange(buckets, bucket).write.insertInto(table)
 
     def open(self, digests: int = 0) -> None:
-        """Register the table; where there is none yet, make one for about that many digests."""
-        noted = self._noted_buckets()
-        if noted is None:
-            noted = self.buckets or min(max(BUCKETS, -(-digests // BUCKET_ROWS)), MOST_BUCKETS)
-            layout = self.spark.range(1, numPartitions=1).select(F.lit(noted).alias("buckets"))
-            layout.write.mode("overwrite").parquet(f"{self.path}/layout")
-        self.buckets = noted
-        where = f"{self.path}/digests".replace("'", "\\'")
-        self.spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {self.table} (digest STRING, keep_id BIGINT, points BIGINT) USING parquet "
-            f"CLUSTERED BY (digest) SORTED BY (digest) INTO {self.buckets} BUCKETS LOCATION '{where}'"
-        )
+        """Register the table, with room for about that many digests more."""
+        held = self.layout.manifest()
+        if held is None:
+            buckets = self.buckets or min(max(BUCKETS, -(-digests // self.bucket_rows)), MOST_BUCKETS)
+            held = self._note(None, buckets=buckets, folder="digests", rows=0, batches=0)
+        buckets, rows = held.notes["buckets"], held.notes["rows"]
+        self.table = self._register(held.notes["folder"], buckets)
+        wanted = min(-(-(rows + digests) // self.bucket_rows), MOST_BUCKETS)
+        if rows and (wanted > buckets or held.notes["batches"] >= BUCKET_FILES):
+            while buckets < wanted:
+                buckets *= 2
+            folder = f"digests-{held.version}-{uuid.uuid4().hex}"
+            table = self._register(folder, buckets)
+            self._insert(self.read().distinct(), table, buckets)
+            self._note(held, buckets=buckets, folder=folder, batches=1)
+            self.table = table
+        self.buckets = buckets
 
     def read(self) -> DataFrame:
         self.spark.catalog.refreshTable(self.table)
@@ -89,9 +110,11 @@ class DigestIndex:
         self.open(groups.count())
         new = groups.select("digest", "keep_id", "points").join(self.read().hint("merge").select("digest"), "digest", "left_anti")
         new = write_shared(new, "new")
-        # By the bucket itself, so a bucket gets one file however many tasks write; the writer sorts.
-        bucket = F.pmod(F.hash("digest"), F.lit(self.buckets))
-        new.repartitionByRange(self.buckets, bucket).write.insertInto(self.table)
+        fresh = new.count()
+        if fresh:
+            self._insert(new, self.table, self.buckets)
+            held = self.layout.manifest()
+            self._note(held, rows=held.notes["rows"] + fresh, batches=held.notes["batches"] + 1)
         stays = groups.select("digest", "group_size").join(self.read().hint("merge"), "digest")
         stays = write_shared(stays.withColumnRenamed("points", "_most"), "stays")
         kept = (F.col(COPY) == 1) & F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("points") == F.col("_most"))
@@ -107,11 +130,13 @@ def drop_copies(docs: DataFrame, index: DigestIndex, id_col: str = "doc_id", tex
     twice = said.where(F.col("kept") & (F.col("rows") > 1)).select(id_, digest)
     marked = docs.withColumn("__sw_key", F.sha2(normalised(F.col(text_col)), 256))
     same = F.col(id_col).eqNullSafe(F.col(id_)) & (F.col("__sw_key") == F.col(digest))
+    columns = [f"`{c.replace('`', '``')}`" for c in docs.columns]
     if twice.isEmpty():
-        return marked.join(gone, same, "left_anti").drop("__sw_key")
-    # Rows of one id whose texts differ in white space only count as one text; the longest of them stays.
-    once = marked.join(twice, same, "left_semi")
+        return marked.join(gone, same, "left_anti").select(*columns)
+    # Rows of one id whose texts differ in white space only count as one text; the longest of them stays, then any one.
+    once = marked.join(twice, same, "left_semi").withColumn("__sw_row", F.monotonically_increasing_id())
+    once = write_shared(once, "repeated")
     rest = marked.join(gone.unionByName(twice), same, "left_anti")
-    longest = F.max(F.struct(F.char_length(F.coalesce(text_col, F.lit(""))).alias("n"), F.struct(*docs.columns).alias("row")))
-    once = once.groupBy(id_col, "__sw_key").agg(longest.alias("best")).select("best.row.*")
-    return rest.select(*docs.columns).unionByName(once)
+    longest = F.max(F.struct(F.char_length(F.coalesce(text_col, F.lit(""))).alias("n"), F.col("__sw_row").alias("row")))["row"].alias("__sw_row")
+    stays = once.groupBy(id_col, "__sw_key").agg(longest).select("__sw_row")
+    return rest.select(*columns).unionByName(once.join(stays, "__sw_row", "left_semi").select(*columns))
