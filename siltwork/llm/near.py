@@ -5,10 +5,10 @@ a sample of one hash in each of ``BINS`` ranges, cut to 8 bits.  The head is spl
 differ in at most ``2 * CHUNKS - 1`` symbols have a chunk with at most one
 differing symbol (pigeonhole), so each chunk gives one key for each symbol left
 out, and every such pair meets under a key.  Sets with a Jaccard similarity of
-0.8 differ in 8 of 40 symbols on average and in 20 or more once in 46,000 pairs.
+0.8 differ in 9.6 of 48 symbols on average and in 24 or more once in 300,000 pairs.
 The sample rules out pairs that are clearly less similar: its share of differing
 ranges is taken without replacement, and a pair at the threshold exceeds
-``DEVIATIONS`` standard deviations of it about once in 100,000 pairs.
+``DEVIATIONS`` standard deviations of it about once in 50 million pairs.
 
 Links are confirmed on full sets.  Under a key, rows are first held against two
 of them only, one of them the row that meets the most others over all its keys;
@@ -35,9 +35,9 @@ from siltwork.llm import words as W
 from siltwork.llm.components import components
 from siltwork.shared import write_shared
 
-HEAD, CHUNKS, BINS = 40, 10, 512
+HEAD, CHUNKS, BINS = 48, 12, 512
 PER_CHUNK = HEAD // CHUNKS
-DISTANCE, DEVIATIONS = 2 * CHUNKS - 1, 4.3
+DISTANCE, DEVIATIONS = 2 * CHUNKS - 1, 5.5
 PREFIX = DISTANCE + 1
 SYMBOLS = 1 << 16
 CROWD = 100_000  # pairs under a key from which it may be parted by symbols
@@ -136,7 +136,7 @@ def _count_symbols(batches):
 def rarest_symbols(heads: DataFrame):
     """Column function: head to its ``PREFIX`` rarest symbols, by their counts over ``heads``.
 
-    The counts that reach the driver and the tasks are ``HEAD * SYMBOLS`` at most, 21 MB, whatever the input.
+    The counts that reach the driver and the tasks are ``HEAD * SYMBOLS`` at most, 25 MB, whatever the input.
     """
     counted = heads.mapInArrow(_count_symbols, "token bigint, n bigint").groupBy("token").agg(F.sum("n").alias("n")).toArrow()
     counts = np.zeros(HEAD * SYMBOLS, np.int64)
