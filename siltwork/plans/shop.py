@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
-from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -153,53 +153,80 @@ def order_items_full(lines: DataFrame, known: DataFrame, products: DataFrame) ->
     return with_product.select("id", "order_id", "product_id", "quantity", "unit_price", "total_price")
 
 
-@dataclass(frozen=True)
 class Silver:
-    users: DataFrame
-    logins: DataFrame
-    lines: DataFrame
-    address: DataFrame
-    gender: DataFrame
-    category: DataFrame
-    device: DataFrame
-    users_full: DataFrame
-    logs_full: DataFrame
-    product_full: DataFrame
-    orders_full: DataFrame
-    order_items_full: DataFrame
+    """All silver tables, each built when it is first asked for.
 
+    Cleaned tables and headers are written before they feed several others, so the raw
+    sources are read once, and only what a table needs is built for it.  With ``ids``, a folder,
+    the ids of addresses, genders, categories and devices are kept there, so that rows written by earlier
+    runs still point at the same values; else each run numbers them anew in value order.
+    """
 
-def build_silver(users: DataFrame, logins: DataFrame, lines: DataFrame, as_of: dt.date, ids: str | None = None) -> Silver:
-    """All silver tables.
+    def __init__(self, users: DataFrame, logins: DataFrame, lines: DataFrame, as_of: dt.date, ids: str | None = None):
+        self._raw = users, logins, lines
+        self._as_of, self._ids = as_of, ids
 
-    Cleaned tables are written before they feed several others, so the raw
-    sources are read once.  With ``ids``, a folder, the ids of addresses, genders, categories and devices
-    are kept there, so that rows written by earlier runs still point at the same values; else each run
-    numbers them anew in value order.
-    """
-    users = write_shared(clean_users(users, as_of), "cleaned-users")
-    logins = write_shared(clean_logins(logins), "cleaned-logs")
-    lines = write_shared(clean_orders(lines), "cleaned-orders")
-    if ids:
-        address = stable_addresses(users, lines, f"{ids}/address")
-        gender = stable_dimension(users, "gender", f"{ids}/gender")
-        category = stable_dimension(lines, "product_category", f"{ids}/category")
-        device = stable_dimension(logins, "device", f"{ids}/device")
-    else:
-        address = address_dimension(users, lines)
-        gender = dimension(users, "gender")
-        category = dimension(lines, "product_category")
-        device = dimension(logins, "device")
-    products = product_full(lines, category)
-    known = write_shared(known_headers(numbered_headers(lines), users, address), "headers")
-    return Silver(
-        users, logins, lines, address, gender, category, device,
-        users_full(users, gender, address),
-        logs_full(logins, users, device),
-        products,
-        orders_full(known),
-        order_items_full(lines, known, products),
-    )
+    @cached_property
+    def users(self) -> DataFrame:
+        return write_shared(clean_users(self._raw[0], self._as_of), "cleaned-users")
+
+    @cached_property
+    def logins(self) -> DataFrame:
+        return write_shared(clean_logins(self._raw[1]), "cleaned-logs")
+
+    @cached_property
+    def lines(self) -> DataFrame:
+        return write_shared(clean_orders(self._raw[2]), "cleaned-orders")
+
+    def _dimension(self, df: DataFrame, col: str, name: str) -> DataFrame:
+        return stable_dimension(df, col, f"{self._ids}/{name}") if self._ids else dimension(df, col)
+
+    @cached_property
+    def address(self) -> DataFrame:
+        if self._ids:
+            return stable_addresses(self.users, self.lines, f"{self._ids}/address")
+        return address_dimension(self.users, self.lines)
+
+    @cached_property
+    def gender(self) -> DataFrame:
+        return self._dimension(self.users, "gender", "gender")
+
+    @cached_property
+    def category(self) -> DataFrame:
+        return self._dimension(self.lines, "product_category", "category")
+
+    @cached_property
+    def device(self) -> DataFrame:
+        return self._dimension(self.logins, "device", "device")
+
+    @cached_property
+    def _known(self) -> DataFrame:
+        return write_shared(known_headers(numbered_headers(self.lines), self.users, self.address), "headers")
+
+    @cached_property
+    def users_full(self) -> DataFrame:
+        return users_full(self.users, self.gender, self.address)
+
+    @cached_property
+    def logs_full(self) -> DataFrame:
+        return logs_full(self.logins, self.users, self.device)
+
+    @cached_property
+    def product_full(self) -> DataFrame:
+        return product_full(self.lines, self.category)
+
+    @cached_property
+    def orders_full(self) -> DataFrame:
+        return orders_full(self._known)
+
+    @cached_property
+    def order_items_full(self) -> DataFrame:
+        return order_items_full(self.lines, self._known, self.product_full)
+
+
+def build_silver(users: DataFrame, logins: DataFrame, lines: DataFrame, as_of: dt.date, ids: str | None = None) -> Silver:
+    """The silver tables of these sources; see :class:`Silver`."""
+    return Silver(users, logins, lines, as_of, ids)
 
 
 def spent_by(users: DataFrame, lines: DataFrame) -> DataFrame:

@@ -194,7 +194,7 @@ FROM clean_lines l JOIN addresses a ON a.address = l.delivery_address
 JOIN orders_made o ON o.email = l.customer_email AND o.order_date = l.date AND o.delivery_address_id = a.id
 JOIN products p ON p.name = l.product_name""")
 def order_items_full(spark: SparkSession, folder: str) -> DataFrame:
-    """The whole silver build, down to its last table."""
+    """The last table of the silver build, with those it needs."""
     silver = shop.build_silver(
         inputs.users(spark, folder), inputs.logins(spark, folder), inputs.lines(spark, folder), AS_OF
     )
