@@ -84,7 +84,34 @@ def op2_jump_shards(spark: SparkSession, folder: str) -> DataFrame:
     return shard_rows(table(spark, folder, "documents"), SHARDS)
 
 
-@query()
+NEAR = r"""
+WITH RECURSIVE worded AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+    FROM documents
+),
+sets AS (
+    SELECT doc_id, list_sort(list_distinct(CASE
+        WHEN len(w) = 0 THEN CAST([] AS VARCHAR[]) WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+        ELSE list_transform(range(1, CAST(len(w) AS BIGINT) - 2), lambda i: array_to_string(w[i : i + 3], ' ')) END)) AS shingles
+    FROM worded
+),
+classed AS (SELECT doc_id, shingles, md5(array_to_string(shingles, chr(10))) AS class FROM sets),
+classes AS (SELECT class, min(doc_id) AS doc, any_value(shingles) AS shingles, CAST(len(any_value(shingles)) AS BIGINT) AS n FROM classed WHERE len(shingles) > 0 GROUP BY class),
+held AS (SELECT class, n, unnest(shingles) AS shingle FROM classes),
+met AS (
+    SELECT x.class AS a, y.class AS b, x.n AS na, y.n AS nb, count(*) AS common
+    FROM held x JOIN held y ON x.shingle = y.shingle AND x.class < y.class AND 100 * least(x.n, y.n) >= 80 * greatest(x.n, y.n) GROUP BY ALL
+),
+links AS (SELECT a, b FROM met WHERE 100 * common >= 80 * (na + nb - common)),
+ends AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach(a, b) AS (SELECT class, class FROM classes UNION SELECT r.a, l.b FROM reach r JOIN ends l ON r.b = l.a),
+named AS (SELECT r.a AS class, min(c.doc) AS component_id FROM reach r JOIN classes c ON c.class = r.b GROUP BY r.a)
+SELECT doc_id, CAST(len(shingles) AS BIGINT) AS n_shingles, coalesce(component_id, doc_id) AS component_id, coalesce(component_id, doc_id) = doc_id AS kept
+FROM classed LEFT JOIN named USING (class)
+"""
+
+
+@query(NEAR)
 def op5_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(spark, folder, "documents"))
 
