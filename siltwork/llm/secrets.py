@@ -1,8 +1,9 @@
-"""Secrets in documents: long tokens, and a random forest that removes the false ones."""
+"""Secrets in documents: values given to key words and long tokens, and a random forest that removes the false ones."""
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 
 import numpy as np
 import pyarrow as pa
@@ -25,6 +26,8 @@ TOKEN = np.zeros(256, bool)
 TOKEN[[*range(ord("0"), ord("9") + 1), *range(ord("A"), ord("Z") + 1), *range(ord("a"), ord("z") + 1), *map(ord, "+/_-")]] = True
 DIGIT = np.zeros(256, bool)
 DIGIT[ord("0") : ord("9") + 1] = True
+SIGN = np.zeros(256, bool)
+SIGN[[ord("="), ord(":")]] = True
 ALPHABET = 128
 TRIGRAMS = 27**3
 
@@ -42,6 +45,8 @@ ASSIGN = re.compile(rb"[=:]\s*[\"']?$")
 KEYED = re.compile((r"(?:" + "|".join(KEY_WORDS) + r")[\w-]*\s*[=:]?\s*[\"']?$").encode(), re.I)
 SAMPLED = re.compile((r"\b(?:" + "|".join(SAMPLE_WORDS) + r")").encode(), re.I)
 PLAIN_WORD = re.compile(rb"[A-Za-z\x80-\xff]+")
+VALUE = re.compile(rb"[=:][ \t]{0,3}(?=\"([^\"\n]+)\"|'([^'\n]+)'|([^\s\"']+))")  # looks ahead only, so that values may hold others
+CLOSING = b".,;)]}"
 
 
 def _letters(raw: np.ndarray) -> np.ndarray:
@@ -83,6 +88,19 @@ def corpus_model(docs: DataFrame, text_col: str = "text") -> tuple[np.ndarray, n
     return np.log(pairs / pairs.sum(1, keepdims=True)), common
 
 
+def given_values(text: bytes) -> list[tuple[int, int]]:
+    """Spans of values that a key word is given: all between quotes, else all up to white space or a quote."""
+    found = []
+    for match in VALUE.finditer(text):
+        which = match.lastindex
+        start, end = match.span(which)
+        if which == 3:
+            end = start + len(text[start:end].rstrip(CLOSING))
+        if end > start and (not found or start >= found[-1][1]) and KEYED.search(text[max(0, start - NEAR) : start]):
+            found.append((start, end))
+    return found
+
+
 def _features(text: bytes, start: int, end: int, source: str, pairs: np.ndarray, common: np.ndarray) -> dict:
     value = np.frombuffer(text[start:end], np.uint8)
     before, after = text[max(0, start - NEAR) : start], text[end : end + NEAR]
@@ -105,8 +123,8 @@ def _features(text: bytes, start: int, end: int, source: str, pairs: np.ndarray,
         "lowers": float(lower.mean()),
         "hex": float((digit | ((low >= 97) & (low <= 102))).mean()),
         "variety": len(np.unique(value)) / min(n, 62),
-        "transitions": float(pairs[low[:-1], low[1:]].mean()),
-        "switches": float((kind[1:] != kind[:-1]).mean()),
+        "transitions": float(pairs[low[:-1], low[1:]].mean()) if n > 1 else 0.0,
+        "switches": float((kind[1:] != kind[:-1]).mean()) if n > 1 else 0.0,
         "dictionary": float(common[cells].sum() / max(n - 2, 1)),
         "path_depth": float(path.count("/")),
         "path_sample": float(any(w in path for w in SAMPLE_PATHS)),
@@ -122,8 +140,9 @@ def _features(text: bytes, start: int, end: int, source: str, pairs: np.ndarray,
 def findings_of(pairs: np.ndarray, common: np.ndarray):
     """Column function: text and source to candidate tokens with their features.
 
-    A candidate is a run of letters, digits and ``+/_-`` of at least ``LEAST`` bytes
-    with a digit and a letter, or after an assignment; or of 12 digits; or of ``LONG`` bytes.
+    A candidate is the whole value that a key word is given, whatever its length and characters; else a run of
+    letters, digits and ``+/_-`` of at least ``LEAST`` bytes with a digit and a letter, or after an
+    assignment; or of 12 digits; or of ``LONG`` bytes.
     """
 
     @F.arrow_udf(SCHEMA)
@@ -146,16 +165,26 @@ def findings_of(pairs: np.ndarray, common: np.ndarray):
             given = (starts > 0) & ((before == 0x3D) | (before == 0x3A))
             good = (size >= LEAST) & (((digits > 0) & (letters > 0)) | given | (size >= LONG) | ((digits >= 12) & (letters == 0)))
             picked = np.flatnonzero(good)
-            rows = np.searchsorted(runs, picked, "right") - 1
-            per_row = np.bincount(rows, minlength=len(offsets) - 1)
-            for row in np.flatnonzero(per_row):
+            bounds = np.searchsorted(picked, runs)
+            assigns = np.concatenate([[0], np.cumsum(SIGN[raw], dtype=np.int64)])[offsets]
+            per_row = []
+            for row in range(len(offsets) - 1):
+                own = picked[bounds[row] : bounds[row + 1]]
+                if not len(own) and assigns[row] == assigns[row + 1]:
+                    per_row.append(0)
+                    continue
                 text = raw[offsets[row] : offsets[row + 1]].tobytes()
-                source = sources[first + int(row)].as_py() or ""
-                for i in picked[rows == row]:
-                    found = _features(text, int(starts[i] - offsets[row]), int(ends[i] - offsets[row]), source, pairs, common)
+                source = sources[first + row].as_py() or ""
+                given = given_values(text)
+                begins, stops = [*(a for a, _ in given), len(text)], [b for _, b in given]
+                tokens = [(int(starts[i] - offsets[row]), int(ends[i] - offsets[row])) for i in own]
+                spans = sorted([*given, *((a, b) for a, b in tokens if begins[bisect_right(stops, a)] >= b)])  # outside given values
+                for start, end in spans:
+                    found = _features(text, start, end, source, pairs, common)
                     for name in names:
                         columns[name].append(found[name])
-            lengths.extend(per_row.tolist())
+                per_row.append(len(spans))
+            lengths.extend(per_row)
         kinds = [pa.int64(), pa.string(), *[pa.float64()] * len(FEATURES)]
         inner = pa.StructArray.from_arrays([pa.array(columns[n], k) for n, k in zip(names, kinds)], names)
         return pa.ListArray.from_arrays(pa.array(np.cumsum(lengths).astype(np.int32)), inner)

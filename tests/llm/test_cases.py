@@ -19,7 +19,7 @@ from siltwork.llm.licences import licence_scan
 from siltwork.llm.lines import drop_repeated_lines
 from siltwork.llm.near import near_duplicates
 from siltwork.llm.packing import pack_documents
-from siltwork.llm.secrets import secret_scan
+from siltwork.llm.secrets import candidates, secret_scan
 from siltwork.llm.shards import shard_rows, write_shards
 from siltwork.llm.toxicity import keep_civil, toxicity
 
@@ -247,6 +247,19 @@ def test_packing(odd):
     assert pack_documents(odd.where("false")).count() == 0
 
 
+def test_whole_values_of_key_words_are_candidates(spark):
+    texts = {
+        'password = "s3cr3t!x"': ["s3cr3t!x"], "pwd: p@ss#1": ["p@ss#1"], "url=http://x.y?token=ab.cd&z": ["ab.cd&z"], "Secret:'a b c'; key=1,": ["a b c", "1"],
+        "api_key = \"\" and : = nothing": [], "secret=": [], "no words here: value": [], "token: é€": ["é€"], "password=abc123abc123, next": ["abc123abc123"],
+    }
+    docs = spark.createDataFrame([(k, t, "s") for k, t in enumerate(texts)], "doc_id bigint, text string, source string")
+    found = {}
+    for r in candidates(docs).orderBy("doc_id", "start").collect():
+        found.setdefault(r["doc_id"], []).append(r["value"])
+        assert list(texts)[r["doc_id"]].encode()[r["start"] :].startswith(r["value"].encode())
+    assert [found.get(k, []) for k in range(len(texts))] == list(texts.values())
+
+
 def test_secrets(odd):
     assert secret_scan(odd.where("text IS NULL OR length(text) < 100")).count() == 0
     assert secret_scan(odd.where("false")).count() == 0
