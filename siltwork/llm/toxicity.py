@@ -4,6 +4,8 @@ A word's log-odds of standing in a toxic document come from counts with
 Dirichlet priors in levels: the prior of a word is the estimate of its first
 six bytes, theirs that of the first five, then four, then the rate of
 toxic documents.  So an unseen word with a telling stem is scored by its stem.
+Words of both signs count; only those whose log-odds do not differ from 0 by
+more than their error are neutral.
 
 Each word scores its log-odds less a drift, its k-th occurrence in the text a k-th
 of the log-odds, as those are of standing in a document at all; and one linear scan finds all
@@ -32,7 +34,7 @@ SAMPLE_DOCS = 30_000
 MODEL_TOKENS = 500_000
 PREFIXES = (4, 5, 6)  # bytes
 PRIOR = 6.0
-TELLING = 1.5  # log-odds from which a token is kept in the model
+SURE = 2.0  # standard errors by which a token's log-odds must differ from 0
 DRIFT = 0.5
 REJECT = 0.7
 NO_PASSAGE = -12.0
@@ -63,23 +65,25 @@ def tokens(raw: np.ndarray, offsets: np.ndarray) -> tuple[W.Words, list[np.ndarr
     return found, levels
 
 
-def segments(scores: np.ndarray, places: np.ndarray, drift: float) -> list[tuple[int, int, float]]:
+def segments(scores: np.ndarray, places: np.ndarray, drift: float, falls: np.ndarray | None = None) -> list[tuple[int, int, float]]:
     """All maximal-scoring segments of a row of words, in one pass.
 
-    ``scores`` are those of the words at ``places`` with a positive balance; every
-    other word scores ``-drift``.  Returned are first place, last place and sum.
+    ``scores`` are those of the words at ``places`` with a positive balance.  ``falls``
+    is what the words between each of them and the one before lose together;
+    without it every other word scores ``-drift``.  Returned are first place, last place and sum.
     """
+    if falls is None:
+        falls = drift * np.diff(places, prepend=-1) - drift
     left: list[float] = []  # running sum before each segment that may still grow
     right: list[float] = []
     lower: list[int] = []  # the nearest earlier segment that starts lower, so that a search skips what lies between
     spans: list[tuple[int, int]] = []
-    total, after = 0.0, 0
-    for score, place in zip(scores.tolist(), places.tolist()):
-        total -= drift * (place - after)
+    total = 0.0
+    for score, place, fall in zip(scores.tolist(), places.tolist(), falls.tolist()):
+        total -= fall
         low, first = total, place
         total += score
         high = total
-        after = place + 1
         at = len(left) - 1
         while True:
             while at >= 0 and left[at] >= low:
@@ -129,20 +133,26 @@ class Model:
             out[known] = self.odds[at[known]]
         return out
 
+    def balance(self, found: W.Words, levels: list[np.ndarray]) -> np.ndarray:
+        """What each word scores: a k-th of its log-odds at its k-th occurrence, less the drift."""
+        odds = self.word_odds(levels)
+        known = np.flatnonzero(odds)
+        odds[known] /= occurrence(found.hashes[known], found.rows[known])
+        return odds - self.drift
+
     def rows(self, texts: pa.Array):
         """Word count, byte spans and scores of the passages of each row."""
         for _, raw, offsets in W.text_chunks(texts):
             found, levels = tokens(raw, offsets)
-            odds = self.word_odds(levels)
-            good = np.flatnonzero(odds > self.drift)
-            odds[good] /= occurrence(found.hashes[good], found.rows[good])
-            odds -= self.drift
-            good = good[odds[good] > 0]
+            scores = self.balance(found, levels)
+            good = np.flatnonzero(scores > 0)
+            sums = np.concatenate([[0.0], np.cumsum(scores)])
             bounds = np.searchsorted(good, found.first)
             for row, n in enumerate(found.counts.tolist()):
                 at = good[bounds[row] : bounds[row + 1]]
                 first = found.first[row]
-                spans = segments(odds[at], at - first, self.drift) if len(at) else []
+                falls = sums[np.concatenate([[first], at[:-1] + 1])] - sums[at] if len(at) else at
+                spans = segments(scores[at], at - first, self.drift, falls) if len(at) else []
                 yield n, [(int(found.starts[first + a] - offsets[row]), int(found.ends[first + b] - offsets[row]), s) for a, b, s in spans]
 
     def evidence(self, n: int, scores: list[float]) -> float:
@@ -208,7 +218,7 @@ def _count_tokens(batches):
 
 
 def _token_odds(texts: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray]:
-    """Token hashes and log-odds of the tokens that tell, or whose prior does."""
+    """Token hashes and log-odds of the tokens that tell for either side, and of those below one that tells."""
     levels = len(PREFIXES) + 1
     schema = ", ".join(f"t{k} bigint" for k in range(levels)) + ", bad bigint, good bigint"
     names = [f"t{k}" for k in range(levels)]
@@ -223,11 +233,14 @@ def _token_odds(texts: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray]:
             sums = sums.join(before, names[k - 1])
             share = F.col("share")
         now = (F.col("bad") + PRIOR * share) / (F.col("bad") + F.col("good") + PRIOR)
-        step = sums.select(F.col(names[k]), share.alias("prior"), now.alias("share"))
-        before = step.select(names[k], "share")
-        odds = lambda c: F.log(F.col(c) / (1 - F.col(c))) - float(np.log(base / (1 - base)))
-        telling = step.select(F.col(names[k]).alias("token"), odds("share").alias("odds"), odds("prior").alias("prior"))
-        telling = telling.where((F.abs("odds") >= TELLING) & (F.col("odds") > 0) | (F.col("prior") >= TELLING)).select("token", "odds")
+        odds = F.log(now / (1 - now)) - float(np.log(base / (1 - base)))
+        weight = F.col("bad") + F.col("good") + PRIOR
+        tells = F.abs(odds) > SURE / F.sqrt(weight * now * (1 - now))  # the error of log-odds from that many texts
+        if k:
+            tells = tells | F.col("tells")  # else the word would be taken for its stem
+        before = sums.select(F.col(names[k]), now.alias("share"), odds.alias("odds"), tells.alias("tells"))
+        telling = before.where("tells").select(F.col(names[k]).alias("token"), "odds")
+        before = before.drop("odds")
         kept = telling if kept is None else kept.unionByName(telling)
     # A word no longer than its prefix gives one token at two levels.
     kept = kept.groupBy("token").agg(F.min("odds").alias("odds")).orderBy(F.abs("odds").desc(), "token").limit(most).toArrow()
@@ -278,7 +291,7 @@ def _score_counts(model: Model):
         seen = np.zeros(512, np.int64)
         for batch in batches:
             for _, raw, offsets in W.text_chunks(batch.column("text")):
-                steps = np.rint(model.word_odds(tokens(raw, offsets)[1]) * 10).astype(int) + 256
+                steps = np.rint(model.balance(*tokens(raw, offsets)) * 10).astype(int) + 256
                 seen += np.bincount(np.clip(steps, 0, 511), minlength=512)
         used = np.flatnonzero(seen)
         yield pa.RecordBatch.from_arrays([pa.array(used - 256), pa.array(seen[used])], ["step", "n"])
@@ -313,7 +326,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     steps = clean.groupBy("step").agg(F.sum("n").alias("n")).toArrow()
     if steps.num_rows:
         by_step, n = steps.column("step").to_numpy() / 10, steps.column("n").to_numpy()
-        model.rate = _decay(by_step - model.drift, n)
+        model.rate = _decay(by_step, n)
     held = rest.select("toxic", _passage_scores(model)("text").alias("p")).select("toxic", "p.*").toArrow().to_pylist()
     most = [model.rate * max(r["s"]) - np.log(r["n"]) for r in held if r["s"] and not r["toxic"]]
     bare = sum(not r["toxic"] for r in held)

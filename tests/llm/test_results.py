@@ -22,7 +22,7 @@ from siltwork.llm.near import near_duplicates
 from siltwork.llm.packing import CAPACITY, best_fit
 from siltwork.llm.queries import LLM_ORACLES, LLM_QUERIES
 from siltwork.llm.shards import jump
-from siltwork.llm.toxicity import segments
+from siltwork.llm.toxicity import segments, toxicity
 from siltwork.sinks.files import counted
 from tests.oracle import connect, difference
 
@@ -310,6 +310,34 @@ def test_segments_by_definition(scores):
     assert [round(s) for _, _, s in found] == [round(s) for _, _, s in want]
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.sampled_from([-4, -2, -1, 0, 1, 3, 5]), max_size=14))
+def test_segments_among_words_of_both_signs(scores):
+    sums = np.concatenate([[0], np.cumsum(scores)]).astype(float)
+    places = np.array([k for k, s in enumerate(scores) if s > 0], dtype=np.int64)
+    falls = sums[np.concatenate([[0], places[:-1] + 1]).astype(int)] - sums[places] if len(places) else np.zeros(0)
+    found = segments(np.array([scores[k] for k in places], float), places, 0.0, falls)
+    assert [round(s) for _, _, s in found] == [round(s) for _, _, s in maximal(scores)]
+
+
+def test_toxicity_by_many_mild_words(spark):
+    """No word is in more than half of the toxic or fewer than a sixth of the clean texts."""
+    rng = np.random.default_rng(5)
+    made = lambda k: ["".join(chr(97 + c) for c in rng.integers(0, 26, 7)) for _ in range(k)]
+    mild, calm, common = made(60), made(60), made(300)
+    texts, marks = [], []
+    for doc in range(1500):
+        bad = doc % 3 == 0
+        words = [w for w in mild if rng.random() < (0.5 if bad else 0.18)] + [w for w in calm if rng.random() < (0.18 if bad else 0.5)]
+        words += [common[k] for k in rng.integers(0, 300, 40)]
+        texts.append((doc, " ".join(rng.permutation(words))))
+        marks.append((doc, int(bad)))
+    docs, labels = spark.createDataFrame(texts, "doc_id bigint, text string"), spark.createDataFrame(marks, "doc_id bigint, toxic int")
+    rows = toxicity(docs, labels).where("held_out").collect()
+    high = [[r["score"] for r in rows if (r["doc_id"] % 3 == 0) == bad] for bad in (True, False)]
+    assert np.mean([(x > y) + 0.5 * (x == y) for x in high[0] for y in high[1]]) >= 0.9
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.lists(st.tuples(st.integers(0, 20), st.integers(-1, 3), st.integers(-1, 5)), max_size=30))
 def test_best_fit_is_tightest(items):
