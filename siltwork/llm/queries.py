@@ -11,7 +11,7 @@ from siltwork.llm.decontamination import benchmark_matches
 from siltwork.llm.exact import DigestIndex
 from siltwork.llm.language import identify
 from siltwork.llm.lexical import ranked_search
-from siltwork.llm.licences import TEMPLATES, THRESHOLD, bigrams_of, licence_scan
+from siltwork.llm.licences import BREAK, STOP, TEMPLATES, THRESHOLD, bigrams_of, licence_scan
 from siltwork.llm.lines import drop_repeated_lines
 from siltwork.llm.near import near_duplicates
 from siltwork.llm.packing import pack_documents
@@ -179,11 +179,15 @@ def _licence_sql() -> str:
 WITH templates(licence, grams) AS (VALUES {values}),
 lines AS (SELECT doc_id, 'line' AS unit, unnest(string_split(text, chr(10))) AS span, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS place FROM documents),
 paragraphs AS (
-    SELECT doc_id, 'paragraph' AS unit, unnest(regexp_split_to_array(text, '\n[ \t\r]*\n')) AS span, generate_subscripts(regexp_split_to_array(text, '\n[ \t\r]*\n'), 1) - 1 AS place
+    SELECT doc_id, 'paragraph' AS unit, unnest(regexp_split_to_array(text, '{BREAK}')) AS span, generate_subscripts(regexp_split_to_array(text, '{BREAK}'), 1) - 1 AS place
     FROM documents
 ),
-texts AS (SELECT doc_id, 'text' AS unit, text AS span, 0 AS place FROM documents WHERE contains(text, chr(10)) AND regexp_matches(text, '\n[ \t\r]*\n')),
-units AS (SELECT * FROM lines UNION ALL SELECT * FROM paragraphs WHERE contains(span, chr(10)) UNION ALL SELECT * FROM texts),
+sentences AS (
+    SELECT doc_id, 'sentence' AS unit, unnest(regexp_split_to_array(text, '{STOP}|{BREAK}')) AS span, generate_subscripts(regexp_split_to_array(text, '{STOP}|{BREAK}'), 1) - 1 AS place
+    FROM documents WHERE regexp_matches(text, '{STOP}')
+),
+texts AS (SELECT doc_id, 'text' AS unit, text AS span, 0 AS place FROM documents WHERE regexp_matches(text, '{BREAK}')),
+units AS (SELECT * FROM lines UNION ALL SELECT * FROM sentences UNION ALL SELECT * FROM paragraphs WHERE contains(span, chr(10)) UNION ALL SELECT * FROM texts),
 plain AS (SELECT *, string_split(trim(regexp_replace(lower(span), '[^\p{{L}}\p{{N}}]+', ' ', 'g')), ' ') AS words FROM units),
 grams AS (
     SELECT doc_id, unit, place, span, list_distinct(list_transform(range(1, len(words)), lambda i: words[i] || ' ' || words[i + 1])) AS grams

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 
+import numpy as np
 import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
@@ -15,7 +16,7 @@ from siltwork.llm import exact
 from siltwork.llm.exact import DigestIndex, drop_copies
 from siltwork.llm.folds import bounded_distinct
 from siltwork.llm.language import identify
-from siltwork.llm.licences import licence_scan
+from siltwork.llm.licences import BSD_GRANT, MIT_GRANT, MIT_NOTICE, MIT_WARRANTY, TEMPLATES, anchors, bigrams_of, least_common, licence_scan
 from siltwork.llm.lines import drop_repeated_lines
 from siltwork.llm.near import near_duplicates
 from siltwork.llm.packing import pack_documents
@@ -208,6 +209,52 @@ def test_licences(spark, odd):
     )
     tie = licence_scan(spark.createDataFrame([(1, "a b c d e f")], "doc_id bigint, text string"), templates={"Z": ["a b c d e f"], "B": ["a b c d e f"]})
     assert [r["licence"] for r in tie.collect()] == ["B"]
+    none = licence_scan(spark.createDataFrame([(1, "a b")], "doc_id bigint, text string"), templates={"Z": ["word"], "B": []})
+    assert none.count() == 0
+
+
+def test_licences_in_source_files(spark):
+    mark = lambda text, width=12: "\n".join("# " + " ".join(text.split()[k : k + width]) for k in range(0, len(text.split()), width))
+    code = "\nimport os\nprint(os.getcwd())"
+    texts = [
+        (1, "Copyright 2020 Foo. All rights reserved."),
+        (2, mark(MIT_GRANT) + code),
+        (3, "// SPDX-License-Identifier: Apache-2.0" + code),
+        (4, "MIT License"),
+        (5, f"The MIT License (MIT)\n\nCopyright (c) 2020 Foo\n\n{MIT_GRANT}\n\n{MIT_NOTICE}\n\n{MIT_WARRANTY}\n"),
+        (6, "# Copyright 2020 Foo\n#\n" + mark('Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License.', 9) + "\n#" + code),
+        (7, "/*\n * Copyright 2020 Foo.\n * " + BSD_GRANT.replace("that the", "that\n * the") + "\n */" + code),
+        (8, "a permit of the mitred licensee accepts limits and softwares. none is given here: really"),
+    ]
+    rows = licence_scan(spark.createDataFrame(texts, "doc_id bigint, text string")).collect()
+    found = {(r["doc_id"], r["unit"], r["licence"]) for r in rows}
+    assert {(1, "sentence", "LicenseRef-All-Rights-Reserved"), (2, "sentence", "MIT"), (3, "line", "Apache-2.0"), (4, "line", "MIT")} <= found
+    assert {(5, "text", "MIT"), (6, "paragraph", "Apache-2.0"), (7, "sentence", "BSD-3-Clause")} <= found
+    assert {d: {x for k, _, x in found if k == d} for d in range(1, 9)} == {
+        1: {"LicenseRef-All-Rights-Reserved"}, 2: {"MIT"}, 3: {"Apache-2.0"}, 4: {"MIT"}, 5: {"MIT"}, 6: {"Apache-2.0"}, 7: {"BSD-3-Clause"}, 8: set(),
+    }
+
+
+def test_licences_against_all_templates(spark):
+    """Templates with words lost, added and exchanged: what is left out early never reaches the threshold."""
+    rng = np.random.default_rng(3)
+    known = [(name, bigrams_of(text), text.split()) for name, texts in TEMPLATES.items() for text in texts]
+    lines = []
+    for _, _, words in known:
+        for lost in (0.0, 0.05, 0.1, 0.2, 0.3):
+            part = [w for w in words if rng.random() >= lost]
+            part = [known[rng.integers(len(known))][2][0] if rng.random() < lost / 2 else w for w in part]
+            lines.append(" ".join(part))
+    want = set()
+    for k, line in enumerate(lines):
+        own = set(bigrams_of(line))
+        best = max((2 * len(own & set(g)) / (len(own) + len(g)) for _, g, _ in known), default=0)
+        want |= {(k, round(best, 6))} if best >= 0.8 else set()
+    rows = licence_scan(spark.createDataFrame(list(enumerate(lines)), "doc_id bigint, text string")).where("unit = 'line'").collect()
+    assert {(r["doc_id"], r["dice"]) for r in rows} == want and len(want) > 100
+    words = set(anchors([g for _, g, _ in known], 0.8))
+    for _, grams, _ in known:
+        assert sum(not words & set(g.split(" ")) for g in grams) < least_common(len(grams), 0.8)
 
 
 def test_language(odd):
