@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CHUNK = 1 << 21
+CHUNK = 1 << 19
 BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
 STEP = np.uint64(0xD6E8FEB86659FD93)
 
