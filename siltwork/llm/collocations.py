@@ -20,6 +20,7 @@ TOP, LEAST = 2000, 10
 FIRST_WAVE, WIDEN = 2, 8  # the first wave settles scores of 2 * TOP pairs, each further one of 8 times as many
 MOST_BITS = 1 << 27  # of a broadcast filter: 16 MB
 BUCKET_BITS = 4096 * 8  # of one bitmap of Spark's
+HELD, SENT = 1 << 20, 1 << 16  # hashes a task holds before it counts them, and those in one batch to Spark
 UNKNOWN = "und"
 MILLION = 1_000_000
 
@@ -71,15 +72,25 @@ def _lang_hashes(names: pa.Array) -> np.ndarray:
     return np.array([int.from_bytes(blake2b(x.encode(), digest_size=8).digest(), "big") for x in names.to_pylist()], np.uint64)
 
 
+def _counted(held: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+    """``h`` and ``n`` of hashes, in batches that take little memory on their way."""
+    found, times = np.unique(np.concatenate(held), return_counts=True)
+    found, times = found.view(np.int64), times.astype(np.int64)
+    for at in range(0, len(found), SENT):
+        yield pa.RecordBatch.from_arrays([pa.array(found[at : at + SENT]), pa.array(times[at : at + SENT])], names=["h", "n"])
+
+
 def _grams(width: int, heads, tails, often):
     """Row function: counts of phrases of ``width`` words in a chunk, by language.
 
     ``heads``, ``tails`` and ``often`` are broadcast filters.  Of pairs both words must be in ``heads``; of triples
     the first two words must be in ``heads`` or the last two in ``tails``.  Without ``often`` a pair or triple comes
-    out as the hash of language and phrase, with it as strings, where that hash is in it.  ``h`` is the hash of a word or pair.
+    out as the hash of language and phrase, counted over ``HELD`` of them and more, with it as strings, where that
+    hash is in it.  ``h`` is the hash of a word or pair.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, many_held = [], 0
         for batch in batches:
             named = pc.fill_null(batch.column("lang"), UNKNOWN).dictionary_encode()
             langs, marks = named.indices.to_numpy(), _lang_hashes(named.dictionary)
@@ -106,8 +117,11 @@ def _grams(width: int, heads, tails, often):
                 if width > 1:
                     mixed = W.mix(h[places] + marks[langs[at + row[places]]])
                     if often is None:
-                        mixed, times = np.unique(mixed, return_counts=True)
-                        yield pa.RecordBatch.from_arrays([pa.array(mixed.view(np.int64)), pa.array(times.astype(np.int64))], names=["h", "n"])
+                        held.append(mixed)
+                        many_held += len(mixed)
+                        if many_held >= HELD:
+                            yield from _counted(held)
+                            held, many_held = [], 0
                         continue
                     places = places[often.value.holds(mixed)]
                 if not len(places):
@@ -126,25 +140,41 @@ def _grams(width: int, heads, tails, often):
                     [names.cast(pa.string()), phrases.cast(pa.string()), pa.array(times.astype(np.int64)), pa.array(h[found].view(np.int64))],
                     names=["lang", "phrase", "n", "h"],
                 )
+        if held:
+            yield from _counted(held)
 
     return count
 
 
-def _words(texts: DataFrame) -> DataFrame:
-    """``lang``, ``phrase``, ``n``, ``h`` of every word."""
-    return texts.mapInArrow(_grams(1, None, None, None), COUNTED).groupBy("lang", "phrase").agg(F.sum("n").alias("n"), F.max("h").alias("h"))
+def _write(df: DataFrame, label: str) -> DataFrame:
+    """``df`` as a shared table of as many files as there are cores, or fewer.
+
+    Its rows are dealt once more, so that the step before keeps its tasks: a file system may start a process for the
+    mode of each file (Hadoop's local one does), and a large shuffle would write thousands of small files.
+    """
+    spark = df.sparkSession
+    files = spark.sparkContext.defaultParallelism
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled") == "true"  # the hint needs it
+    return write_shared(df.hint("rebalance").coalesce(files) if adaptive else df.repartition(files), label)
+
+
+def _words(texts: DataFrame, least: int) -> DataFrame:
+    """``lang``, ``phrase``, ``n``, ``h`` of the words found ``least`` times or more; with null as phrase all others of a language."""
+    words = texts.mapInArrow(_grams(1, None, None, None), COUNTED).groupBy("lang", "phrase").agg(F.sum("n").alias("n"), F.max("h").alias("h"))
+    often = words.withColumn("phrase", F.when(F.col("n") >= least, F.col("phrase")))
+    return often.groupBy("lang", "phrase").agg(F.sum("n").alias("n"), F.max("h").alias("h"))
 
 
 def _frequent(texts: DataFrame, width: int, least: int, heads: Filter, tails: Filter | None = None) -> DataFrame:
     """``lang``, ``phrase``, ``n``, ``h`` of the phrases that pass the filters and occur ``least`` times or more.
 
     Hashes are counted first, and strings only of those found often enough: nearly all phrases are rare, and a
-    hash is a long.  Phrases that share a hash add up there, so none is missed; the counts are those of the strings.
+    hash is a long.  Tasks have counted their own, so these are dealt without another hash table.  Phrases that share a hash add up there, so none is missed; the counts are those of the strings.
     """
     send = texts.sparkSession.sparkContext.broadcast
     ends = send(heads), send(tails)
-    hashes = texts.mapInArrow(_grams(width, *ends, None), "h bigint, n bigint").groupBy("h").agg(F.sum("n").alias("n"))
-    often = Filter(write_shared(hashes.where(F.col("n") >= least).select("h"), "frequent-hashes"))
+    hashes = texts.mapInArrow(_grams(width, *ends, None), "h bigint, n bigint").repartition("h").groupBy("h").agg(F.sum("n").alias("n"))
+    often = Filter(_write(hashes.where(F.col("n") >= least).select("h"), "frequent-hashes"))
     counted = texts.mapInArrow(_grams(width, *ends, send(often)), COUNTED)
     return counted.groupBy("lang", "phrase").agg(F.sum("n").alias("n"), F.max("h").alias("h")).where(F.col("n") >= least)
 
@@ -175,7 +205,7 @@ def _pairs(texts: DataFrame, words: DataFrame, least: int) -> DataFrame:
     A phrase that begins with the pair xy occurs f(xy) times at most, and what follows x in it as often as itself
     at least: cut after x, its score is f(xy) / f(x) at most.
     """
-    often = words.where(F.col("n") >= least)
+    often = words.where(F.col("phrase").isNotNull())
     pairs = _frequent(texts, 2, least, Filter(often.select("h")))
     split = pairs.select("lang", "phrase", F.col("n").alias("a"), "h", F.substring_index("phrase", " ", 1).alias("x"), F.substring_index("phrase", " ", -1).alias("y"))
     first = often.select("lang", F.col("phrase").alias("x"), F.col("n").alias("l"))
@@ -195,7 +225,7 @@ def _wave(texts: DataFrame, pairs: DataFrame, least: int) -> DataFrame:
     triples = _frequent(texts, 3, least, heads, tails)
     word = lambda k: F.split_part("phrase", F.lit(" "), F.lit(k))
     split = triples.select("lang", "phrase", F.col("n").alias("a"), F.concat_ws(" ", word(1), word(2)).alias("xy"), F.concat_ws(" ", word(2), word(3)).alias("yz"))
-    split = write_shared(split, "triples")
+    split = _write(split, "triples")
     left = pairs.select("lang", F.col("phrase").alias("xy"), F.col("a").alias("f_xy"), F.col("l").alias("f_x"), "floor")
     right = pairs.select("lang", F.col("phrase").alias("yz"), F.col("a").alias("f_yz"), F.col("r").alias("f_z"))
     cuts = split.join(left, ["lang", "xy"]).join(right, ["lang", "yz"]).withColumns({"s1": _score("a", "f_x", "f_yz"), "s2": _score("a", "f_xy", "f_z")})
@@ -207,7 +237,7 @@ def _wave(texts: DataFrame, pairs: DataFrame, least: int) -> DataFrame:
     longer = split.select("lang", F.explode(F.array("xy", "yz")).alias("phrase"), "a").groupBy("lang", "phrase").agg(F.max("a").alias("longer"))
     kept = reaching.join(longer, ["lang", "phrase"], "left").where(F.col("longer").isNull() | (_decimal("longer", 100) < _decimal("a", 50)))
     kept = kept.select(*scored.columns)
-    return write_shared(kept.unionByName(scored.where(F.col("score") >= F.col("floor"))), "survivors")
+    return _write(kept.unionByName(scored.where(F.col("score") >= F.col("floor"))), "survivors")
 
 
 def _decimal(name: str, factor: int) -> Column:
@@ -235,19 +265,19 @@ def collocations(
     are not read.
     """
     texts = docs.select(F.coalesce(F.col(lang_col), F.lit(UNKNOWN)).alias("lang"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
-    words = write_shared(_words(texts), "words")
+    words = _write(_words(texts, least), "words")
     totals = words.groupBy("lang").agg(F.sum("n").alias("n"))
-    pairs = write_shared(_pairs(texts, words, least), "pairs")
+    pairs = _write(_pairs(texts, words, least), "pairs")
     waves, wanted = [], FIRST_WAVE * top
     while not pairs.isEmpty():
-        floors = _thresholds(pairs, wanted)
-        found = _wave(texts, write_shared(pairs.join(floors, "lang"), "frontier"), least)
+        floors = _write(_thresholds(pairs, wanted), "floors")
+        found = _wave(texts, pairs.join(floors, "lang"), least)
         by_lang = found.groupBy("lang", "floor").agg(F.count("*").alias("rows"))
-        settled = write_shared(by_lang.where((F.col("rows") >= top) | (F.col("floor") == 0)).select("lang"), "settled")
+        settled = _write(by_lang.where((F.col("rows") >= top) | (F.col("floor") == 0)).select("lang"), "settled")
         none = floors.where("floor = 0").select("lang")  # nothing is left to grow, whether or not something survived
         settled = settled.unionByName(none).distinct()
         waves.append(found.join(settled, "lang", "left_semi"))
-        pairs = write_shared(pairs.join(settled, "lang", "left_anti"), "pairs")
+        pairs = _write(pairs.join(settled, "lang", "left_anti"), "pairs")
         texts = texts.join(pairs.select("lang").distinct(), "lang", "left_semi")
         wanted *= WIDEN
     if not waves:

@@ -6,6 +6,8 @@ import math
 import os
 import re
 from collections import Counter
+from pathlib import Path
+from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
@@ -16,10 +18,12 @@ from pyspark.sql import functions as F
 
 from siltwork.llm import collocations as C
 from siltwork.llm import tokens, topk
+from siltwork.llm import words as W
 from siltwork.llm.collocations import collocations
 from siltwork.llm.lexical import Heaps, TermIndex, ranked_search
 from siltwork.llm.queries import LLM_ORACLES, LLM_QUERIES
 from siltwork.llm.topk import Shard, max_score, top_k
+from siltwork.shared import shared_root
 from tests.oracle import connect, difference
 
 LEARNED = os.environ.get("TEST_LEARN_DIR", "/root/testdata/sf0.01")
@@ -138,6 +142,49 @@ def test_collocations_odd_rows(spark):
     assert collocations(docs.where("text IS NULL")).count() == 0
 
 
+@pytest.mark.parametrize("adaptive", ["true", "false"])
+def test_collocations_write_few_files(spark, adaptive):
+    """A file for each task of a shuffle, each with a process for its mode, doubled what an executor seemed to hold."""
+    rows = [(" ".join(f"w{j % 7} v{j * k % 50}" for j in range(60)), ["en", "fr"][k % 2]) for k in range(40)]
+    docs = spark.createDataFrame(rows, "text string, lang string")
+    root = Path(shared_root(spark).removeprefix("file:"))
+    before = set(root.glob("*")) if root.is_dir() else set()
+    held = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.adaptive.enabled": adaptive}
+    old = {k: spark.conf.get(k) for k in held}
+    try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        found = collocations(docs, top=50, least=4).collect()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert sorted(map(tuple, found)) == plain_collocations(rows, 50, 4)
+    files = {p.name: len(list(p.glob("part-*"))) for p in set(root.glob("*")) - before}
+    assert files and max(files.values()) <= spark.sparkContext.defaultParallelism
+
+
+def test_collocations_keep_frequent_words_and_totals(spark):
+    docs = spark.createDataFrame([("a a b a. c", "en"), ("c d a", "fr")], "_text string, lang string").select("lang", "_text")
+    found = C._words(docs, 2).select("lang", "phrase", "n").collect()
+    assert sorted(map(tuple, found), key=str) == [("en", "a", 3), ("en", None, 2), ("fr", None, 3)]
+
+
+def test_hashes_are_counted_over_chunks(monkeypatch):
+    monkeypatch.setattr(W, "CHUNK", 64)
+    every = SimpleNamespace(value=SimpleNamespace(holds=lambda h: np.ones(len(h), bool)))
+    batch = pa.RecordBatch.from_pydict({"lang": pa.array(["en", None] * 50), "_text": pa.array(["a b c. A B", "b c"] * 50)})
+    for held, sent, rows in ((1 << 20, 1 << 16, 3), (1 << 20, 2, 3), (20, 1 << 16, None)):
+        monkeypatch.setattr(C, "HELD", held)
+        monkeypatch.setattr(C, "SENT", sent)
+        batches = list(C._grams(2, every, every, None)(iter([batch, batch])))
+        assert max(b.num_rows for b in batches) <= sent
+        counts = Counter()
+        for b in batches:
+            counts.update(dict(zip(b["h"].to_pylist(), b["n"].to_pylist())))
+        assert sorted(counts.values()) == [100, 100, 200]
+        assert rows in (None, sum(b.num_rows for b in batches))
+
+
 def test_words_of_one_hash_stay_apart():
     raw = np.frombuffer(b"abc abd ab abc", np.uint8)
     starts, ends = np.array([0, 4, 8, 11]), np.array([3, 7, 10, 14])
